@@ -27,9 +27,30 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def _spans_text(found):
+    return F.array_join(F.transform(found, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from callsift.llm.secrets import find_secrets
+
+    found = find_secrets(_table(spark, sf_dir, "documents"))
+    of = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("found", lambda s: s["kind"] != "random")
+    return found.select(
+        "doc_id",
+        of("assign").alias("n_assign"),
+        of("access").alias("n_access"),
+        of("hex").alias("n_hex"),
+        F.sha2(_spans_text(base), 256).alias("base_sha256"),
+        _spans_text(F.col("found")).alias("spans"),
+    )
+
+
 QUERIES = {
     "op3_sharding": op3_sharding,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_secret_scan": op9_secret_scan,
 }
 
 ORACLE_SQL = {
