@@ -93,7 +93,8 @@ def build_index(
     directory = spark.createDataFrame(split_directory(counts, bucket_capacity), schema)
 
     repeated = slots.where("n > 1").select("key")
-    candidates = rows.join(repeated, "key", "left_semi")
+    # The keys grow with the input, so they are merged, never broadcast.
+    candidates = rows.join(repeated.hint("merge"), "key", "left_semi")
     partial = candidates.groupBy("key", "text", "sha", F.pmod(F.xxhash64("id"), F.lit(SALTS)).alias("salt")).agg(
         F.max("id").alias("keep_id"), F.count("*").alias("n")
     )
@@ -132,7 +133,8 @@ def exact_dedup(
     """
     index = build_index(docs, id_col, text_col, bucket_capacity, key_bits)
     rows = keyed(docs, id_col, text_col, key_bits).select("id", "key", "sha")
-    joined = rows.join(index.where("group_size > 1").select("key", "sha", "keep_id", "group_size", "bucket"), ["key", "sha"], "left")
+    groups = index.where("group_size > 1").select("key", "sha", "keep_id", "group_size", "bucket")
+    joined = rows.join(groups.hint("merge"), ["key", "sha"], "left")
     keep = F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("keep_id"))
     return joined.select(
         F.col("id").alias(id_col),
