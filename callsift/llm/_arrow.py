@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from callsift.shipping import ship
+
 #: Texts handed to a function at once stay below this many characters (one text may be longer).
 CHUNK_CHARS = 4_000_000
 
@@ -40,6 +42,7 @@ def map_texts(
 
     ``make`` runs once per task. The result has ``id_col``, the ``extra`` columns, then ``fields``.
     """
+    ship(docs.sparkSession)
     keep = [id_col, *extra]
     schema = T.StructType([docs.schema[c] for c in keep] + list(fields.fields))
     arrow = to_arrow_schema(schema)

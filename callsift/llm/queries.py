@@ -47,8 +47,22 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer's file; the files are never copied into the repository."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from callsift.llm.packing import pack_documents
+
+    return pack_documents(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 QUERIES = {
     "op3_sharding": op3_sharding,
+    "op5_packing": op5_packing,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_secret_scan": op9_secret_scan,
 }

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from callsift.llm._arrow import map_texts
+from callsift.shipping import ship
 
 # The base patterns and their least lengths.
 ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -180,6 +181,7 @@ def redact_secrets(
     docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", seed: int = 5, margin: float = MARGIN
 ) -> DataFrame:
     """``docs`` with every found span replaced by ``mark``; null texts stay null."""
+    ship(docs.sparkSession)
     finder = _finder(seed, margin)
     held: list = []
 
