@@ -60,9 +60,24 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def held_out(id_col):
+    """Rows whose labels must not be learnt from."""
+    return F.crc32(id_col.cast("string").cast("binary")) % 3 == 1
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from callsift.llm.toxicity import fit_toxicity, score_toxicity
+
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = fit_toxicity(docs, labels.where(~held_out(F.col("doc_id"))))
+    scored = score_toxicity(docs, model)
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 QUERIES = {
     "op3_sharding": op3_sharding,
     "op5_packing": op5_packing,
+    "op6_toxicity": op6_toxicity,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_secret_scan": op9_secret_scan,
 }
