@@ -74,11 +74,20 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from callsift.llm.simhash import simhash_components
+
+    found = simhash_components(_table(spark, sf_dir, "documents"), shingle=4, radius=4)
+    digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op3_sharding": op3_sharding,
     "op5_packing": op5_packing,
     "op6_toxicity": op6_toxicity,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_simhash": op10_simhash,
     "op9_secret_scan": op9_secret_scan,
 }
 
