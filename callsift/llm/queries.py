@@ -10,6 +10,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from callsift.llm.topk import top_k
+
+    vectors = _table(spark, sf_dir, "embeddings")
+    found = top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from callsift.llm.sharding import LAW, interleave
 
@@ -83,6 +91,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_topk": op1_topk,
     "op3_sharding": op3_sharding,
     "op5_packing": op5_packing,
     "op6_toxicity": op6_toxicity,
@@ -92,6 +101,22 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_topk": """
+        WITH t AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+                   CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM t q JOIN t c ON q.vec_id <> c.vec_id
+            WHERE q.vec_id % 50 = 0
+        ), r AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+        )
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+    """,
     "op8_exact_dedup": """
         WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents)
         SELECT doc_id,
