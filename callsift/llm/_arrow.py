@@ -57,3 +57,23 @@ def map_texts(
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
     return docs.select(*keep, F.col(text_col).cast("string").alias("__text")).mapInArrow(run, schema)
+
+
+def text_column(make: Callable[[], Callable[[list[str]], list]], kind: T.DataType) -> Callable:
+    """A column function that applies ``make()(texts)`` to a text column; one value per text.
+
+    ``make`` runs once per worker and use; nulls reach the function as empty texts.
+    """
+    held: list[Callable] = []
+    arrow_type = to_arrow_schema(T.StructType([T.StructField("v", kind)])).field(0).type
+
+    @F.arrow_udf(kind)
+    def column(texts: pa.Array) -> pa.Array:
+        if not held:
+            held.append(make())
+        values: list = []
+        for _, part in chunks(texts):
+            values += list(held[0](part))
+        return pa.array(values, arrow_type)
+
+    return column

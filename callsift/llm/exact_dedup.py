@@ -144,3 +144,17 @@ def exact_dedup(
         F.col("sha").alias("text_sha256"),
         "bucket",
     )
+
+
+def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each group of equal texts; repeated rows are left once too."""
+    out = exact_dedup(docs, id_col, text_col, **options).where(~F.col("kept")).select(
+        F.col(id_col).alias("__id"), F.col("text_sha256").alias("__digest")
+    )
+    sha = F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"), 256)
+    rows = docs.withColumn("__sha", sha)
+    same = (F.col(id_col) == F.col("__id")) & (F.col("__sha") == F.col("__digest"))
+    left = rows.join(out.distinct().hint("merge"), same, "left_anti")
+    # Rows that repeat the identifier as well; the join has dealt and sorted them this way.
+    nth = F.row_number().over(W.Window.partitionBy(id_col, "__sha").orderBy(id_col, "__sha"))
+    return left.withColumn("__nth", nth).where("__nth = 1").drop("__nth", "__sha")

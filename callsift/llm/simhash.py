@@ -249,3 +249,12 @@ def simhash_components(
         "fingerprint", F.coalesce("head", "first").alias("component_id")
     )
     return rows.join(labels.hint("merge"), "fingerprint").select(F.col("id").alias(id_col), "fingerprint", "component_id")
+
+
+def drop_near_copies(
+    docs: DataFrame, shingle: int = 5, radius: int = 8, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``docs`` with only the smallest identifier of each component."""
+    found = simhash_components(docs, shingle, radius, id_col, text_col)
+    out = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__out")).distinct()
+    return docs.join(out.hint("merge"), F.col(id_col) == F.col("__out"), "left_anti")

@@ -28,7 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from callsift.llm._arrow import map_texts
+from callsift.llm._arrow import map_texts, text_column
+from callsift.shipping import ship
 
 #: Bound on the labelled documents that are fitted.
 MAX_DOCS = 6000
@@ -215,3 +216,11 @@ def score_toxicity(
 
     fields = T.StructType([T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
     return map_texts(docs, make, fields, id_col, text_col)
+
+
+def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose score is below ``threshold``, with all their columns."""
+    ship(docs.sparkSession)
+    held = docs.sparkSession.sparkContext.broadcast(model)
+    score = text_column(lambda: lambda texts: held.value.score(texts).tolist(), T.DoubleType())
+    return docs.where(score(F.col(text_col).cast("string")) < threshold)
