@@ -16,7 +16,9 @@ import re
 import numpy as np
 
 #: White-space chunks kept per worker before the cache starts anew.
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 600_000
+#: Words, digits and punctuation kept per worker before that cache starts anew.
+CACHE_PIECES = 500_000
 #: Characters for which str.lower() and the split below match the library's normaliser and pattern.
 PLAIN = re.compile(r"[!-~À-ÖØ-Þß-öø-ÿ]+")
 #: str.split() takes these for white space, the vocabulary's pattern does not.
@@ -55,6 +57,7 @@ class WordBpe:
         order = np.argsort(pairs)
         self.pairs, self.made, self.rank = pairs[order], made[order], order.astype(np.int32)
         self.cache: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def merge_words(self, words: list[bytes]) -> list[bytes]:
         """Ids of non-empty words, merged in rank order, leftmost first, all words at once."""
@@ -100,18 +103,24 @@ class WordBpe:
     def _learn(self, chunks: list[str]) -> None:
         split, plain, odd = [], [], []
         for c in chunks:
-            if PLAIN.fullmatch(c):
-                plain.append(c)
-                split.append(PIECES.findall(c.lower()))
+            if c.isascii() and c.isalpha():
+                ws = (c.lower(),)
+            elif c.isascii() and c[:-1].isalpha() and c[-1] in ".,":
+                ws = (c[:-1].lower(), c[-1])
+            elif PLAIN.fullmatch(c):
+                ws = PIECES.findall(c.lower())
             else:
                 odd.append(c)
-        words = {w for ws in split for w in ws}
-        fresh = [w for w in words if "\n" + w not in self.cache]
+                continue
+            plain.append(c)
+            split.append(ws)
+        known = self.pieces
+        if len(known) > CACHE_PIECES:
+            known.clear()
+        fresh = list({w for ws in split for w in ws if w not in known})
         if fresh:
-            # Pieces are cached beside chunks, under names that no chunk can have.
-            self.cache.update(zip(("\n" + w for w in fresh), self.merge_words([w.encode() for w in fresh])))
-        for c, ws in zip(plain, split):
-            self.cache[c] = b"".join([self.cache["\n" + w] for w in ws])
+            known.update(zip(fresh, self.merge_words([w.encode() for w in fresh])))
+        self.cache.update(zip(plain, [known[ws[0]] if len(ws) == 1 else b"".join([known[w] for w in ws]) for ws in split]))
         if odd:
             for c, e in zip(odd, self.library.encode_batch(odd, add_special_tokens=False)):
                 self.cache[c] = np.array(e.ids, "<u2").tobytes()
