@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 
 from callsift.llm._arrow import map_texts
 from callsift.llm._components import connected_components
-from callsift.llm._shared import materialize
+from callsift.llm._shared import discard, materialize
 from callsift.shipping import ship
 
 SEED = 42
@@ -251,10 +251,67 @@ def simhash_components(
     return rows.join(labels.hint("merge"), "fingerprint").select(F.col("id").alias(id_col), "fingerprint", "component_id")
 
 
-def drop_near_copies(
-    docs: DataFrame, shingle: int = 5, radius: int = 8, id_col: str = "doc_id", text_col: str = "text"
+# --- near copies, verified on the texts -------------------------------------------------------
+
+
+def shingle_similarity(a: str, b: str, size: int) -> float:
+    """Jaccard similarity of the sets of word shingles of two texts."""
+    x, y = set(shingle_hashes(a, size).tolist()), set(shingle_hashes(b, size).tolist())
+    return len(x & y) / len(x | y) if x or y else 1.0
+
+
+def near_copies(
+    docs: DataFrame,
+    feature: int = 2,
+    radius: int = 8,
+    shingle: int = 5,
+    similarity: float = 0.8,
+    id_col: str = "doc_id",
+    text_col: str = "text",
 ) -> DataFrame:
-    """``docs`` with only the smallest identifier of each component."""
-    found = simhash_components(docs, shingle, radius, id_col, text_col)
-    out = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__out")).distinct()
+    """``id_col, keep_id``: texts whose shingles are similar to those of a smaller identifier that stays.
+
+    SimHash components over shingles of ``feature`` words gather the candidates. Then, in
+    rounds, the smallest identifier left in each component stays, and those at least
+    ``similarity`` to it (Jaccard, shingles of ``shingle`` words) are its copies; the others
+    go on to the next round, until none is left. A row is compared with one kept text a
+    round, so no pairs within a component are ever listed.
+    """
+    found = simhash_components(docs, feature, radius, id_col, text_col).select(
+        F.col(id_col).alias("id"), F.col("component_id").alias("part")
+    )
+    many = found.groupBy("part").agg(F.count("*").alias("n")).where("n > 1").select("part")
+    members = found.join(many.hint("merge"), "part").where("id is not null").distinct()
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    texts = docs.select(F.col(id_col).alias("id"), text.alias("text"))
+    left = materialize(members.join(texts.hint("merge"), "id"), "members")
+
+    @F.arrow_udf(T.DoubleType())
+    def likeness(a: pa.Array, b: pa.Array) -> pa.Array:
+        return pa.array([shingle_similarity(x.as_py(), y.as_py(), shingle) for x, y in zip(a, b)], pa.float64())
+
+    ship(docs.sparkSession)
+    copies = []
+    while True:
+        first = left.groupBy("part").agg(F.min_by(F.struct("id", "text"), F.struct("id", F.xxhash64("text"))).alias("head"))
+        heads = first.select("part", F.col("head.id").alias("keep_id"), F.col("head.text").alias("keep_text"))
+        judged = left.join(heads.hint("merge"), "part").where("id <> keep_id")
+        judged = materialize(
+            judged.withColumn("close", likeness("text", "keep_text") >= similarity).drop("keep_text"), "judged"
+        )
+        copies.append(judged.where("close").select("id", "keep_id"))
+        rest = judged.where("not close").select("id", "part", "text")
+        discard(left)
+        if rest.isEmpty():
+            break
+        left = materialize(rest, "rest")
+    out = copies[0]
+    for more in copies[1:]:
+        out = out.unionByName(more)
+    return out.select(F.col("id").alias(id_col), "keep_id")
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` without the copies that ``near_copies`` finds; of repeated identifiers all rows go."""
+    out = near_copies(docs, id_col=id_col, text_col=text_col, **options).select(F.col(id_col).alias("__out")).distinct()
     return docs.join(out.hint("merge"), F.col(id_col) == F.col("__out"), "left_anti")
