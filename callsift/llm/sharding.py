@@ -1,7 +1,8 @@
 """Proportional stratified interleaving of documents into shards.
 
 Rows are shuffled by a seeded hash within each source and ranked there; rank
-``r`` of a source with ``n`` rows stands at ``(r + 0.5) / n``. Sorting all rows by
+``r`` of a source with ``n`` rows stands at ``(r + phase) / n``; the phase, between 0 and
+1, is a seeded hash of the source, so that sources of equal size do not fall into step. Sorting all rows by
 that fraction interleaves the sources in proportion, and cutting the sorted rows
 into runs of equal length gives shards whose source mixture matches the whole.
 Law ``rows``: shard sizes in rows are at most one apart.
@@ -54,10 +55,11 @@ def interleave(
         (F.sum("n").over(over.orderBy("_part")) - F.col("n") - F.col("first")).alias("shift"),
         F.sum("n").over(over).alias("total"),
     )
+    phase = (F.pmod(F.xxhash64(F.lit(seed), "source"), F.lit(1 << 20)) + 0.5) / (1 << 20)
     same_run = (F.col("_part") == F.col("p")) & F.col("source").eqNullSafe(F.col("s"))
     placed = ranked.join(runs, same_run).select(
         "id", "source", "size", "crc", "draw",
-        ((F.col("_row") + F.col("shift") + 0.5) / F.col("total")).alias("fraction"),
+        ((F.col("_row") + F.col("shift") + phase) / F.col("total")).alias("fraction"),
     )
 
     lined = with_position(placed, ["fraction", *tie])

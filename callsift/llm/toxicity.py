@@ -128,7 +128,7 @@ def count_models(texts: list[str], toxic: np.ndarray) -> Model:
         own = np.bincount(word, n, size)
         share = own.sum() / max(both.sum(), 1)
         # The discount's mass returns through the backoff, in proportion to continuation counts.
-        back = DISCOUNT * (own > 0).sum() * kinds / kinds.sum()
+        back = DISCOUNT * (own > 0).sum() * kinds / max(kinds.sum(), 1)
         word_ratio += sign * np.log((np.maximum(own - DISCOUNT, 0) + back * share + SHARED_WEIGHT) / (share * both + SHARED_WEIGHT))
         part = context[before] / np.maximum(contexts[0] + contexts[1], 1)[before]
         pair_ratio += sign * np.log((np.maximum(n - DISCOUNT, 0) + SHARED_WEIGHT) / (part * shared_n + SHARED_WEIGHT))
