@@ -62,6 +62,21 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from callsift.llm.byte_bpe import encode
+
+    docs = _table(spark, sf_dir, "documents")
+    coded = encode(docs, vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, with_decoded=True)
+    return coded.select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from callsift.llm.packing import pack_documents
 
@@ -93,6 +108,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_topk": op1_topk,
     "op3_sharding": op3_sharding,
+    "op4_byte_bpe": op4_byte_bpe,
     "op5_packing": op5_packing,
     "op6_toxicity": op6_toxicity,
     "op8_exact_dedup": op8_exact_dedup,
