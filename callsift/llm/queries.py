@@ -28,6 +28,13 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from callsift.llm.lm_score import fit, score
+
+    docs = _table(spark, sf_dir, "documents")
+    return score(docs, *fit(docs))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from callsift.llm.exact_dedup import exact_dedup
 
@@ -111,6 +118,7 @@ QUERIES = {
     "op4_byte_bpe": op4_byte_bpe,
     "op5_packing": op5_packing,
     "op6_toxicity": op6_toxicity,
+    "op7_lm_score": op7_lm_score,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_simhash": op10_simhash,
     "op9_secret_scan": op9_secret_scan,
