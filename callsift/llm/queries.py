@@ -18,6 +18,12 @@ def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from callsift.llm.suffix_dedup import substring_report
+
+    return substring_report(_table(spark, sf_dir, "documents"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from callsift.llm.sharding import LAW, interleave
 
@@ -114,6 +120,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_topk": op1_topk,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_sharding": op3_sharding,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_packing": op5_packing,
