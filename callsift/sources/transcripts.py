@@ -34,7 +34,7 @@ def scan_transcripts(spark: SparkSession, root: str) -> DataFrame:
         empty = True
     if empty:
         raise FileNotFoundError(f"no transcripts below {root}")
-    parsed = files.withColumn("raw", F.from_json(F.decode("content", F.lit("UTF-8")), DDL["raw_transcript"], {"mode": "FAILFAST"}))
+    parsed = files.withColumn("raw", F.from_json(F.decode("content", "UTF-8"), DDL["raw_transcript"], {"mode": "FAILFAST"}))
     data = F.col("raw.data")
     said = F.concat(F.lit("transcript without utterances: "), F.col("relative_path"))
     good = data.isNotNull() & (F.size(data) > 0)
@@ -44,7 +44,7 @@ def scan_transcripts(spark: SparkSession, root: str) -> DataFrame:
 def scan_meetings(spark: SparkSession, root: str) -> DataFrame:
     """``transcript_id`` with start (required), end and duration (optional) of each meeting."""
     files = _scan(spark, root, "meeting-info.json")
-    info = F.from_json(F.decode("content", F.lit("UTF-8")), DDL["meeting_info"], {"mode": "FAILFAST"})
+    info = F.from_json(F.decode("content", "UTF-8"), DDL["meeting_info"], {"mode": "FAILFAST"})
     rows = files.select("transcript_id", info.alias("m")).select("transcript_id", "m.*")
     start = F.when(F.trim("startTime") != "", F.col("startTime")).otherwise(
         F.raise_error(F.concat(F.lit("meeting without a start: "), F.col("transcript_id"))).cast("string")
