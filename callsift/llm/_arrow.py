@@ -13,7 +13,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from callsift.shipping import ship
 
 #: Texts handed to a function at once stay below this many characters (one text may be longer).
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 2_000_000
 
 
 def chunks(texts: pa.ChunkedArray | pa.Array, limit: int = CHUNK_CHARS) -> Iterator[tuple[int, list[str]]]:
