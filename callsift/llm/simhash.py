@@ -25,6 +25,7 @@ with a null identifier take part but never name a component unless all are null.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -36,7 +37,7 @@ from pyspark.sql import types as T
 
 from callsift.llm._arrow import map_texts
 from callsift.llm._components import connected_components
-from callsift.llm._shared import discard, materialize
+from callsift.llm._shared import materialize
 from callsift.shipping import ship
 
 SEED = 42
@@ -271,11 +272,13 @@ def near_copies(
 ) -> DataFrame:
     """``id_col, keep_id``: texts whose shingles are similar to those of a smaller identifier that stays.
 
-    SimHash components over shingles of ``feature`` words gather the candidates. Then, in
-    rounds, the smallest identifier left in each component stays, and those at least
-    ``similarity`` to it (Jaccard, shingles of ``shingle`` words) are its copies; the others
-    go on to the next round, until none is left. A row is compared with one kept text a
-    round, so no pairs within a component are ever listed.
+    SimHash components over shingles of ``feature`` words gather the candidates. Identifiers
+    then decide in ascending order within a component: one that is at least ``similarity``
+    (Jaccard, shingles of ``shingle`` words) to an identifier that stays is its copy, all
+    others stay. First every member is compared with its component's smallest identifier by
+    a join that spreads over tasks, which settles large groups of copies; what is left of a
+    component streams through one task, which holds the shingles of those that stay and
+    finds the similar ones among them by their smallest hashes (prefix filtering).
     """
     found = simhash_components(docs, feature, radius, id_col, text_col).select(
         F.col(id_col).alias("id"), F.col("component_id").alias("part")
@@ -291,26 +294,59 @@ def near_copies(
         return pa.array([shingle_similarity(x.as_py(), y.as_py(), shingle) for x, y in zip(a, b)], pa.float64())
 
     ship(docs.sparkSession)
-    copies = []
-    while True:
-        first = left.groupBy("part").agg(F.min_by(F.struct("id", "text"), F.struct("id", F.xxhash64("text"))).alias("head"))
-        heads = first.select("part", F.col("head.id").alias("keep_id"), F.col("head.text").alias("keep_text"))
-        judged = left.join(heads.hint("merge"), "part").where("id <> keep_id")
-        judged = materialize(
-            judged.withColumn("close", likeness("text", "keep_text") >= similarity).drop("keep_text"), "judged"
-        )
-        copies.append(judged.where("close").select("id", "keep_id"))
-        rest = judged.where("not close").select("id", "part", "text")
-        discard(left)
-        if rest.isEmpty():
-            break
-        left = materialize(rest, "rest")
-    out = copies[0]
-    for more in copies[1:]:
-        out = out.unionByName(more)
+    first = left.groupBy("part").agg(F.min_by(F.struct("id", "text"), F.struct("id", F.xxhash64("text"))).alias("head"))
+    heads = first.select("part", F.col("head.id").alias("keep_id"), F.col("head.text").alias("keep_text"))
+    judged = left.join(heads.hint("merge"), "part").where("id <> keep_id")
+    judged = materialize(judged.withColumn("close", likeness("text", "keep_text") >= similarity).drop("keep_text"), "judged")
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, kept = None, Kept(shingle, similarity)
+        for batch in batches:
+            ids, keep_ids = [], []
+            for part, i, text in zip(*(batch.column(c).to_pylist() for c in range(3))):
+                if part != now:
+                    now, kept = part, Kept(shingle, similarity)
+                copy_of = kept.decide(i, text)
+                if copy_of is not None:
+                    ids.append(i)
+                    keep_ids.append(copy_of)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keep_ids, pa.int64())], ["id", "keep_id"])
+
+    rest = judged.where("not close").select("part", F.col("id").cast("long").alias("id"), "text")
+    more = rest.repartition("part").sortWithinPartitions("part", "id").mapInArrow(stream, "id long, keep_id long")
+    out = judged.where("close").select("id", "keep_id").unionByName(more)
     return out.select(F.col("id").alias(id_col), "keep_id")
 
 
+class Kept:
+    """The texts of one component that stay, found by similarity.
+
+    Two sets with a Jaccard similarity of ``t`` share one of the ``n - ceil(t n) + 1`` smallest
+    elements of either, so only texts that share such an element are compared.
+    """
+
+    def __init__(self, shingle: int, similarity: float):
+        self.shingle, self.similarity = shingle, similarity
+        self.ids: list[int] = []
+        self.sets: list[set[int]] = []
+        self.index: dict[int, list[int]] = {}
+
+    def decide(self, i: int, text: str) -> int | None:
+        """The kept identifier that the text is a copy of; None if it stays, or is the same identifier."""
+        own = set(shingle_hashes(text, self.shingle).tolist())
+        prefix = sorted(own)[: len(own) - math.ceil(self.similarity * len(own)) + 1] or [-1]
+        for k in sorted({k for h in prefix for k in self.index.get(h, ())}):
+            other = self.sets[k]
+            shared = len(own & other)
+            if shared >= self.similarity * (len(own) + len(other) - shared):
+                return self.ids[k] if self.ids[k] != i else None
+        for h in prefix:
+            self.index.setdefault(h, []).append(len(self.ids))
+        self.ids.append(i)
+        self.sets.append(own)
+        return None
+
+
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the copies that ``near_copies`` finds; of repeated identifiers all rows go."""
     out = near_copies(docs, id_col=id_col, text_col=text_col, **options).select(F.col(id_col).alias("__out")).distinct()
