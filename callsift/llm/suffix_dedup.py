@@ -17,8 +17,7 @@ equal anchors. The steps:
 4. the groups mark, in every document, the windows that a smaller identifier holds.
 
 A passage that a third of all documents share reaches its owner once per group of
-documents, not once per document. No text travels but that of documents with a shared
-anchor, and of shared segments.
+documents, not once per document. Texts are dealt to their groups once.
 
 Edge cases: null texts are empty; texts shorter than ``length`` lose nothing; rows with a
 null identifier neither lose bytes nor are a source; rows that repeat an identifier are one
@@ -33,7 +32,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from callsift.llm._shared import materialize
 from callsift.shipping import ship
@@ -220,9 +218,22 @@ def _split(target: np.ndarray, n: int, *arrays: np.ndarray) -> Iterator[tuple[in
 
 
 def _home(ids: np.ndarray, n: int) -> np.ndarray:
-    """Group of documents that an identifier belongs to."""
-    h = ids.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return ((h >> np.uint64(33)) % np.uint64(n)).astype(np.int64)
+    """Group of documents that an identifier belongs to: ``pmod(xxhash64(id), n)`` as Spark has it."""
+    p1, p2, p3, p4, p5 = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+    turn = lambda x, r: (x << np.uint64(r)) | (x >> np.uint64(64 - r))
+    h = np.full(len(ids), 42 + 8, np.uint64) + p5
+    h ^= turn(ids.astype(np.int64).view(np.uint64) * p2, 31) * p1
+    h = turn(h, 27) * p1 + p4
+    h = (h ^ (h >> np.uint64(33))) * p2
+    h = (h ^ (h >> np.uint64(29))) * p3
+    h ^= h >> np.uint64(32)
+    return np.mod(h.view(np.int64), n)
+
+
+def _key(anchor: np.ndarray, n: int) -> np.ndarray:
+    """Owner and 32 bits of an anchor. An owner's share of anchors stays the same as data and
+    owners grow, so the chance that two of them meet does, too; it costs a comparison, no result."""
+    return ((anchor >> np.uint64(40)) % np.uint64(n)) << np.uint64(32) | (anchor & np.uint64(0xFFFFFFFF))
 
 
 def _by_key(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[tuple[int, list[list]]]:
@@ -249,20 +260,21 @@ def _batch(names: list[str], kinds: list[pa.DataType], rows: list[tuple]) -> pa.
 # --- the operator ---------------------------------------------------------------------------
 
 
-def _group_segments(ids: np.ndarray, texts: list[bytes], shared: list[np.ndarray], length: int):
+def _group_segments(ids: np.ndarray, texts: list[bytes], shared: list[np.ndarray], length: int, n: int):
     """Shared segments of one group's documents, and their distinct texts.
 
-    Returns ``(doc, start, windows, which)`` per segment and ``(text, smallest id, anchor)`` per distinct text.
+    Returns ``(doc, start, windows, which)`` per segment and ``(text, smallest id, key)`` per distinct text.
     """
     doc, start, count, anchor = segments(texts, length)
+    key = _key(anchor, n)
     wanted = np.zeros(len(doc), bool)
     cuts = np.searchsorted(doc, np.arange(len(texts) + 1))
     for d, own in enumerate(shared):
         a, b = cuts[d], cuts[d + 1]
         if a < b and len(own):
-            at = np.minimum(np.searchsorted(own, anchor[a:b]), len(own) - 1)
-            wanted[a:b] = own[at] == anchor[a:b]
-    doc, start, count, anchor = doc[wanted], start[wanted], count[wanted], anchor[wanted]
+            at = np.minimum(np.searchsorted(own, key[a:b]), len(own) - 1)
+            wanted[a:b] = own[at] == key[a:b]
+    doc, start, count, key = doc[wanted], start[wanted], count[wanted], key[wanted]
     seen: dict[bytes, int] = {}
     which = np.empty(len(doc), np.int64)
     for i, (d, s, c) in enumerate(zip(doc.tolist(), start.tolist(), count.tolist())):
@@ -270,24 +282,44 @@ def _group_segments(ids: np.ndarray, texts: list[bytes], shared: list[np.ndarray
     least = np.full(len(seen), np.iinfo(np.int64).max)
     np.minimum.at(least, which, ids[doc])
     owner = np.zeros(len(seen), np.uint64)
-    owner[which] = anchor
+    owner[which] = key
     return (doc, start, count, which), (list(seen), least, owner)
 
 
-def _read_group(table: pa.Table) -> tuple[np.ndarray, list[bytes], list[np.ndarray]]:
-    """A group's documents in a fixed order."""
-    rows = sorted(zip(table.column("id").to_pylist(), table.column("text").to_pylist(), table.column("shared").to_pylist()))
-    return np.array([r[0] for r in rows], np.int64), [r[1] for r in rows], [np.frombuffer(r[2], np.uint64) for r in rows]
+def _read_group(left: pa.Table, right: pa.Table) -> tuple[list, np.ndarray, list[bytes], list[np.ndarray]]:
+    """A group's documents in a fixed order: identifiers (also as numbers), texts, shared keys."""
+    rows = sorted(zip(left.column("id").to_pylist(), left.column("text").to_pylist()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    found: dict[int, list[np.ndarray]] = {}
+    for kind, blob in zip(right.column("kind").to_pylist(), right.column("blob").to_pylist()):
+        if kind == SHARED:
+            (ids, low), owner = _unpack(blob, "i8", "u4")
+            key = np.uint64(int.from_bytes(owner, "little") << 32) | low.astype(np.uint64)
+            by = np.argsort(ids, kind="stable")
+            ids, key = ids[by], key[by]
+            cut = np.flatnonzero(_runs(ids)).tolist() + [len(ids)]
+            for a, b in zip(cut, cut[1:]):
+                found.setdefault(int(ids[a]), []).append(key[a:b])
+    keys = {i: np.unique(np.concatenate(k)) for i, k in found.items()}
+    none = np.zeros(0, np.uint64)
+    own = [r[0] for r in rows]
+    return own, np.array([i or 0 for i in own], np.int64), [r[1] for r in rows], [keys.get(i, none) for i in own]
+
+
+#: Kinds of blobs that come back to a group of documents.
+SHARED, ANSWER = 0, 1
+
 
+def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id, n_bytes, spans, kept`` of every row of ``docs``; spans are maximal removed runs of bytes.
 
-def touched_documents(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``home, id, text, shared``: the documents that share an anchor with another, and those anchors."""
+    The documents are dealt to their groups once; both visits to a group read that one exchange.
+    """
     spark = docs.sparkSession
     ship(spark)
     n = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.where(F.col(id_col).isNotNull()).select(
+    rows = docs.select(
         F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text")
-    ).where(F.octet_length("text") >= length)
+    )
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, kinds = ["target", "blob"], [pa.int32(), pa.binary()]
@@ -301,76 +333,42 @@ def touched_documents(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_
                     size += len(texts[stop])
                     stop += 1
                 doc, _, _, anchor = segments(texts[at:stop], length)
-                target = (anchor >> np.uint64(40)) % np.uint64(n)
-                yield _batch(names, kinds, [(t, _pack(a, d)) for t, (a, d) in _split(target, n, anchor, ids[at + doc])])
+                key = _key(anchor, n)
+                low, target = key.astype(np.uint32), (key >> np.uint64(32)).astype(np.int64)
+                yield _batch(names, kinds, [(t, _pack(a, d)) for t, (a, d) in _split(target, n, low, ids[at + doc])])
                 at = stop
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, kinds = ["home", "blob"], [pa.int32(), pa.binary()]
-        for _, (blobs,) in _by_key(batches, 1):
-            parts = [_unpack(b, "u8", "i8")[0] for b in blobs]
-            anchor, ids = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
-            by = np.argsort(anchor, kind="stable")
-            anchor, ids = anchor[by], ids[by]
-            cut = np.flatnonzero(_runs(anchor))
+        names, kinds = ["home", "kind", "blob"], [pa.int32(), pa.int32(), pa.binary()]
+        for target, (blobs,) in _by_key(batches, 1):
+            parts = [_unpack(b, "u4", "i8")[0] for b in blobs]
+            low, ids = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+            by = np.argsort(low, kind="stable")
+            low, ids = low[by], ids[by]
+            cut = np.flatnonzero(_runs(low))
             several = np.minimum.reduceat(ids, cut) != np.maximum.reduceat(ids, cut)
-            keep = np.repeat(several, np.diff(np.append(cut, len(anchor))))
-            anchor, ids = anchor[keep], ids[keep]
-            yield _batch(names, kinds, [(h, _pack(d, a)) for h, (d, a) in _split(_home(ids, n), n, ids, anchor)])
-
-    shared = (
-        rows.mapInArrow(send, "target int, blob binary").repartition(n, "target").sortWithinPartitions("target")
-        .mapInArrow(meet, "home int, blob binary")
-    )
-    # The same hash as _home, on the JVM's side by a small Arrow function.
-    home = F.arrow_udf(lambda ids: pa.array(_home(ids.to_numpy(zero_copy_only=False), n).astype(np.int32)), T.IntegerType())
-
-    def join(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        found: dict[int, list[np.ndarray]] = {}
-        for blob in right.column("blob").to_pylist():
-            (ids, anchor), _ = _unpack(blob, "i8", "u8")
-            by = np.argsort(ids, kind="stable")
-            ids, anchor = ids[by], anchor[by]
-            cut = np.flatnonzero(_runs(ids)).tolist() + [len(ids)]
-            for a, b in zip(cut, cut[1:]):
-                found.setdefault(int(ids[a]), []).append(anchor[a:b])
-        own = left.column("id").to_pylist()
-        at = [i for i, d in enumerate(own) if d in found]
-        part = left.take(pa.array(at, pa.int64()))
-        return pa.table(
-            {
-                "home": part.column("home"), "id": part.column("id"), "text": part.column("text"),
-                "shared": pa.array([np.unique(np.concatenate(found[own[i]])).tobytes() for i in at], pa.binary()),
-            }
-        )
-
-    placed = rows.withColumn("home", home("id"))
-    joined = placed.groupBy("home").cogroup(shared.groupBy("home")).applyInArrow(join, "home int, id long, text binary, shared binary")
-    return materialize(joined, "touched")
-
-
-def removed_spans(touched: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``id, n_bytes, spans, kept`` of every row of ``touched_documents``; spans are maximal removed runs."""
-    spark = touched.sparkSession
-    n = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-    def send(table: pa.Table) -> pa.Table:
-        ids, texts, shared = _read_group(table)
-        _, (distinct, least, owner) = _group_segments(ids, texts, shared, length)
-        target = (owner >> np.uint64(40)) % np.uint64(n)
-        home = table.column("home")[0].as_py() if table.num_rows else 0
-        rows = []
+            keep = np.repeat(several, np.diff(np.append(cut, len(low))))
+            low, ids = low[keep], ids[keep]
+            owner = target.to_bytes(8, "little")
+            yield _batch(names, kinds, [(h, SHARED, _pack(d, a) + owner) for h, (d, a) in _split(_home(ids, n), n, ids, low)])
+
+    def pick(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        _, ids, texts, shared = _read_group(left, right)
+        _, (distinct, least, owner) = _group_segments(ids, texts, shared, length, n)
+        target = (owner >> np.uint64(32)).astype(np.int64)
+        home = left.column("home")[0].as_py() if left.num_rows else 0
+        made = []
         for t, (which,) in _split(target, n, np.arange(len(distinct))):
             own = [distinct[i] for i in which.tolist()]
-            sizes = np.fromiter(map(len, own), np.int64, len(own))
-            rows.append((t, home, _pack(which, least[which], sizes) + b"".join(own)))
-        return pa.Table.from_batches([_batch(["target", "home", "blob"], [pa.int32(), pa.int32(), pa.binary()], rows)])
+            sizes = np.fromiter(map(len, own), np.uint16, len(own))
+            made.append((t, home, _pack(which.astype(np.uint32), least[which], sizes) + b"".join(own)))
+        return pa.Table.from_batches([_batch(["target", "home", "blob"], [pa.int32(), pa.int32(), pa.binary()], made)])
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, kinds = ["home", "blob"], [pa.int32(), pa.binary()]
+        names, kinds = ["home", "kind", "blob"], [pa.int32(), pa.int32(), pa.binary()]
         for _, (homes, blobs) in _by_key(batches, 2):
-            parts = [_unpack(b, "i8", "i8", "i8") for b in blobs]
-            sizes = np.concatenate([p[0][2] for p in parts])
+            parts = [_unpack(b, "u4", "i8", "u2") for b in blobs]
+            sizes = np.concatenate([p[0][2] for p in parts]).astype(np.int64)
             least = np.concatenate([p[0][1] for p in parts])
             buf = np.frombuffer(b"".join(p[1] for p in parts), np.uint8)
             counts = sizes - length + 1
@@ -383,22 +381,21 @@ def removed_spans(touched: DataFrame, length: int = LENGTH) -> DataFrame:
             best = np.empty(len(starts), np.int64)
             best[order] = np.repeat(lowest, np.diff(np.append(cut, len(order))))
             # Runs of equal minima within a segment.
-            new = _runs(seg, best)
-            at = np.flatnonzero(new)
+            at = np.flatnonzero(_runs(seg, best))
             run_seg, run_best, run_len = seg[at], best[at], np.diff(np.append(at, len(best)))
             which = np.concatenate([p[0][0] for p in parts])
             bounds = np.cumsum([0] + [len(p[0][0]) for p in parts])
-            rows = []
+            made = []
             for i, home in enumerate(homes):
                 a, b = np.searchsorted(run_seg, [bounds[i], bounds[i + 1]])
-                rows.append((home, _pack(which[run_seg[a:b]], within[at[a:b]], run_len[a:b], run_best[a:b])))
-            yield _batch(names, kinds, rows)
+                made.append((home, ANSWER, _pack(which[run_seg[a:b]], within[at[a:b]].astype(np.uint16), run_len[a:b].astype(np.uint16), run_best[a:b])))
+            yield _batch(names, kinds, made)
 
     def mark(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        ids, texts, shared = _read_group(left)
-        (doc, start, _, which), (distinct, _, _) = _group_segments(ids, texts, shared, length)
-        parts = [_unpack(b, "i8", "i8", "i8", "i8")[0] for b in right.column("blob").to_pylist()]
-        seg, place, count, best = (np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i in range(4))
+        own, ids, texts, shared = _read_group(left, right)
+        (doc, start, _, which), _ = _group_segments(ids, texts, shared, length, n)
+        parts = [_unpack(b, "u4", "u2", "u2", "i8")[0] for k, b in zip(right.column("kind").to_pylist(), right.column("blob").to_pylist()) if k == ANSWER]
+        seg, place, count, best = (np.concatenate([p[i] for p in parts]).astype(np.int64) if parts else np.zeros(0, np.int64) for i in range(4))
         by = np.argsort(seg, kind="stable")
         seg, place, count, best = seg[by], place[by], count[by], best[by]
         lo, hi = np.searchsorted(seg, which), np.searchsorted(seg, which, "right")
@@ -428,32 +425,28 @@ def removed_spans(touched: DataFrame, length: int = LENGTH) -> DataFrame:
             spans.append([{"start": x, "end": y} for x, y in merged])
             kept.append(b"".join([*left_over, t[at:]]))
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        return pa.table({"id": pa.array(ids), "n_bytes": pa.array(sizes, pa.int64()), "spans": pa.array(spans, span), "kept": pa.array(kept, pa.binary())})
+        return pa.table({"id": pa.array(own, pa.int64()), "n_bytes": pa.array(sizes, pa.int64()), "spans": pa.array(spans, span), "kept": pa.array(kept, pa.binary())})
 
+    shared = (
+        rows.where(F.col("id").isNotNull() & (F.octet_length("text") >= length)).mapInArrow(send, "target int, blob binary")
+        .repartition(n, "target").sortWithinPartitions("target").mapInArrow(meet, "home int, kind int, blob binary")
+    )
+    shared = materialize(shared, "shared")  # read by both visits
+    placed = rows.withColumn("home", F.coalesce(F.pmod(F.xxhash64("id"), F.lit(n)), F.lit(0)).cast("int"))
     answers = (
-        touched.groupBy("home").applyInArrow(send, "target int, home int, blob binary")
-        .repartition(n, "target").sortWithinPartitions("target", "home").mapInArrow(solve, "home int, blob binary")
+        placed.groupBy("home").cogroup(shared.groupBy("home")).applyInArrow(pick, "target int, home int, blob binary")
+        .repartition(n, "target").sortWithinPartitions("target", "home").mapInArrow(solve, "home int, kind int, blob binary")
     )
-    return touched.groupBy("home").cogroup(answers.groupBy("home")).applyInArrow(
+    back = shared.unionByName(answers)
+    return placed.groupBy("home").cogroup(back.groupBy("home")).applyInArrow(
         mark, "id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary"
     )
 
 
 def substring_report(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, n_bytes, n_removed, n_spans, kept_sha256`` for every row of ``docs``."""
-    touched = touched_documents(docs, length, id_col, text_col)
-    found = removed_spans(touched, length)
+    found = remove_repeats(docs, length, id_col, text_col)
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda t, s: t + s["end"] - s["start"])
-    some = found.select(
-        F.col("id"), "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
-    )
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
-    plain = docs.select(
-        F.col(id_col).cast("long").alias("id"), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("kept_sha256")
-    )
-    known = touched.select("id", F.octet_length("text").cast("long").alias("m")).distinct()
-    same = (plain["id"] == known["id"]) & (plain["n_bytes"] == known["m"])
-    rest = plain.join(known.hint("merge"), same, "left_anti").select(
-        "id", "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), "kept_sha256"
+    return found.select(
+        F.col("id").alias(id_col), "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
     )
-    return some.unionByName(rest).withColumnRenamed("id", id_col)
