@@ -239,9 +239,9 @@ def test_metadata_labels_and_outliers(spark):
     assert [r.term for r in terms.orderBy("rank").collect()] == ["billing invoice", "invoice", "invoice billing", "billing"]
     emb = spark.createDataFrame([(f"s{i}", "t", [1.0, float(i)]) for i in range(3)], SCHEMAS["segment_embeddings"])
     near = topics.centroid_segments(df, emb, segs, 2)
-    assert [r.segment_id for r in near.orderBy("rank").collect()] == ["s1", "s2"]
+    assert [r.segment_id for r in near.orderBy("rank").collect()] == ["s2", "s1"]
     label = topics.label_topics(topics.cluster_metadata(df), terms, near, segs, RuleModel(), S).collect()
-    assert len(label) == 1 and label[0].centroid_segment_ids == ["s1", "s2"] and "billing" in label[0].label
+    assert len(label) == 1 and label[0].centroid_segment_ids == ["s2", "s1"] and "billing" in label[0].label
 
 
 def test_small_scopes_have_no_topics(spark):
