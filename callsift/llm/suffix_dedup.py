@@ -316,7 +316,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     """
     spark = docs.sparkSession
     ship(spark)
-    n = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Groups and owners exchange a blob each, so their number is kept near that of partitions.
+    n = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text")
     )
