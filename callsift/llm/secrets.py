@@ -2,8 +2,8 @@
 
 Three patterns give the base spans: assignments to a secret-like name, cloud access
 keys, long hexadecimal runs. Further spans come from two character Markov models of
-order two, one trained on random strings, one on ordinary identifiers; a long token is
-a secret if the log-likelihood ratio of the two favours the random model by a margin.
+order two, one trained on random strings, one on ordinary identifiers and long words; a
+token of 16 or more characters, whatever they are, is a secret if the log-likelihood ratio of the two favours the random model by a margin.
 Both are trained here from a labelled sample that a seed fixes (``labelled_samples``).
 
 The models are a few hundred kilobytes, travel with the task, and each text is read
@@ -58,18 +58,35 @@ PARTS = (
     "example export factory feature field file filter final first folder font form format frame from function "
     "global group handler header height history home host icon image import index info input install instance"
 ).split()
+# Ordinary words of several languages, whose compounds are long words of letters alone.
+WORDS = (
+    "the that this with from have which their there would about other these than then when what into only other "
+    "nation station question education information international responsibility understanding nevertheless "
+    "characteristic administration communication development environment transportation representation "
+    "der die das und ist ein eine einen nicht auch auf aus bei mit von vor zu zum zur werden wird haben sich sein "
+    "freiheit sicherheit gesundheit wahrheit krankheit schwierigkeit geschwindigkeit wirklichkeit tatigkeit moglichkeit "
+    "verantwortung versicherung verpflichtung entscheidung entwicklung gesellschaft wissenschaft wirtschaft schlieslich "
+    "menschlich schriftlich naturlich verschieden zwischen deutsch geschichte nachricht ansicht schutz gesetz platz "
+    "erscheinung austausch beziehung untersuchung anwendung rechnung bezug gebaude ergebnis verstandnis achtung "
+    "le la les des une dans pour que qui est sont avec plus mais aux eux elle elles queue oiseaux nouveaux animaux "
+    "heureux heureuse ailleurs lieu mieux journaux question maison raison traduction developpement gouvernement "
+    "appartement etablissement immediatement evidemment aujourdhui quelquefois feuille bouteille jeunesse richesse "
+    "el los las del una uno con por para como pero esta este estos todo cuando donde porque quedo pasado cuidado "
+    "ciudad universidad posibilidad nacion cancion corazon comentario documento momento trabajador gobierno "
+    "pequeno desarrollo conocimiento establecimiento responsabilidad afortunadamente generalmente quiere dinero"
+).split()
 
 
 def labelled_samples(seed: int = 5, n: int = 9000) -> tuple[list[str], list[str]]:
     """``(random strings, ordinary identifiers)``, the labelled sample the models learn from."""
     rng = np.random.default_rng(seed)
-    alphabets = ("0123456789abcdef", "0123456789ABCDEF", ALPHABET[:62], ALPHABET[:62] + "+/", "abcdefghijklmnopqrstuvwxyz0123456789", ALPHABET[:62] + "_-")
+    alphabets = ("0123456789abcdef", "0123456789ABCDEF", ALPHABET[:62], ALPHABET[:62] + "+/", "abcdefghijklmnopqrstuvwxyz0123456789", ALPHABET[:62] + "_-", ALPHABET[:52], ALPHABET[:26], ALPHABET[26:52])
     noise = ["".join(rng.choice(list(alphabets[i % len(alphabets)]), int(rng.integers(16, 65)))) for i in range(n)]
     plain = []
     for i in range(n):
         parts = [PARTS[j] for j in rng.integers(0, len(PARTS), int(rng.integers(2, 7)))]
         number = str(rng.integers(0, 10 ** int(rng.integers(1, 9))))
-        style = i % 6
+        style = i % 10
         if style == 0:
             word = "_".join(parts) + number
         elif style == 1:
@@ -80,8 +97,14 @@ def labelled_samples(seed: int = 5, n: int = 9000) -> tuple[list[str], list[str]
             word = "/".join(["", *parts]) + "/" + number
         elif style == 4:
             word = "_".join(parts).upper() + "_" + number
-        else:
+        elif style == 5:
             word = "".join(parts) + "=" + number
+        elif style == 9:  # ruled lines, table borders, one character over and over
+            n_signs, mark = int(rng.integers(2, 21)), str(rng.choice(list(ALPHABET[62:] if i % 20 < 10 else ALPHABET)))
+            word = ("+" + "-" * n_signs) * 3 + "+" if i % 40 < 10 else mark * (16 + n_signs)
+        else:
+            word = "".join(WORDS[j] for j in rng.integers(0, len(WORDS), int(rng.integers(3, 7))))
+            word = (word, word.capitalize(), word.upper())[style - 6]
         plain.append(word)
     return noise, plain
 
@@ -129,8 +152,7 @@ def spans_of(text: str, ratio: np.ndarray, code: dict[str, int], margin: float =
             found += [(at + m.start(), 1, at + m.end()) for m in ACCESS.finditer(token) if m.end() - m.start() >= LEAST["access"]]
         if len(token) >= LEAST["hex"]:
             found += [(at + m.start(), 2, at + m.end()) for m in HEX.finditer(token) if m.end() - m.start() >= LEAST["hex"]]
-        mixed = not token.isalpha() and not token.isdigit() and any(c.isdigit() for c in token) and any(c.isalpha() for c in token)
-        if mixed and log_ratio(token, ratio, code) > margin * len(token) and not any(s <= at and run.end() <= e for s, _, e in found):
+        if log_ratio(token, ratio, code) > margin * len(token) and not any(s <= at and run.end() <= e for s, _, e in found):
             found.append((at, 3, run.end()))
     return [(KINDS[k], s, e) for s, k, e in sorted(found)]
 

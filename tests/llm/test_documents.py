@@ -177,6 +177,25 @@ def test_markov_models_tell_random_from_ordinary():
     assert sum(caught) / len(caught) > 0.9 and sum(wrong) / len(wrong) < 0.01
 
 
+def test_tokens_without_digits_are_judged_by_the_models():
+    import random
+    import string
+
+    from callsift.llm.secrets import ALPHABET, fit_ratio, spans_of
+
+    ratio, code = fit_ratio(), {c: i + 1 for i, c in enumerate(ALPHABET)}
+    rng = random.Random(9)
+    for alphabet in (string.ascii_letters, string.ascii_lowercase, string.ascii_uppercase, string.ascii_letters + string.digits):
+        tokens = ["".join(rng.choices(alphabet, k=rng.randint(16, 40))) for _ in range(400)]
+        found = [("random", 4, 4 + len(t)) in spans_of(f"see {t} there", ratio, code) for t in tokens]
+        assert sum(found) / len(found) > 0.95, alphabet
+    ordinary = [
+        "internationalization", "Donaudampfschifffahrtsgesellschaft", "ANTICONSTITUTIONNELLEMENT", "Rechtsschutzversicherungsgesellschaften",
+        "electroencephalographically", "getCustomerAccountBalance", "usr/local/share/python", "-" * 40, "=" * 16, "_" * 25, "+------+------+", "x" * 30,
+    ]
+    assert not [t for t in ordinary if spans_of(f"see {t} there", ratio, code)]
+
+
 def test_redaction(spark):
     from callsift.llm.secrets import redact_secrets
 
