@@ -25,7 +25,6 @@ with a null identifier take part but never name a component unless all are null.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -47,6 +46,8 @@ SEGMENTS = {4: 3, 8: 4}
 GENERATOR = 0b101011100011
 #: Shingle hashes whose bits are counted at once.
 BLOCK = 65_536
+#: Shingles that a task holds before it passes them on.
+HELD = 250_000
 #: Longest run of one key that is paired by offsets; longer runs are searched breadth first.
 SHORT_RUN = 32
 
@@ -261,10 +262,119 @@ def shingle_similarity(a: str, b: str, size: int) -> float:
     return len(x & y) / len(x | y) if x or y else 1.0
 
 
+def prefix_length(n: int | np.ndarray, similarity: float) -> int | np.ndarray:
+    """Two sets of Jaccard ``similarity`` share one of so many first elements of either, in any common order."""
+    return n - np.ceil(similarity * n - 1e-9).astype(np.int64) + 1
+
+
+def cut(target: np.ndarray, targets: int, columns: list[np.ndarray]) -> pa.RecordBatch:
+    """``target, blob``: the rows of equal-width columns, packed by target."""
+    order = np.argsort(target, kind="stable")
+    cuts = np.searchsorted(target[order], np.arange(targets + 1))
+    some = np.flatnonzero(cuts[1:] > cuts[:-1])
+    columns = [c[order] for c in columns]
+    blobs = [b"".join(c[cuts[t] : cuts[t + 1]].tobytes() for c in columns) for t in some]
+    return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(blobs, pa.binary())], ["target", "blob"])
+
+
+def by_target(batches: Iterator[pa.RecordBatch], kinds: list) -> Iterator[list[np.ndarray]]:
+    """The columns that ``cut`` packed, whole for each target of sorted batches."""
+    width = sum(np.dtype(k).itemsize for k in kinds)
+
+    def unpack(blobs: list[bytes]) -> list[np.ndarray]:
+        parts: list[list[np.ndarray]] = [[] for _ in kinds]
+        for blob in blobs:
+            n, at = len(blob) // width, 0
+            for part, k in zip(parts, kinds):
+                part.append(np.frombuffer(blob, k, n, at))
+                at += n * np.dtype(k).itemsize
+        return [np.concatenate(p) for p in parts]
+
+    held: list[bytes] = []
+    now = None
+    for batch in batches:
+        for target, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+            if target != now and held:
+                yield unpack(held)
+                held = []
+            now = target
+            held.append(blob.as_py())
+    if held:
+        yield unpack(held)
+
+
+def shared_shingles(docs: DataFrame, shingle: int, similarity: float, text_col: str = "text") -> DataFrame:
+    """``a, b``: links between digests of texts that join every pair of the Jaccard ``similarity``.
+
+    Prefix filtering with the rarest shingles first: a text's shingles are ordered by the
+    number of texts that have them, then by hash, and two similar texts share one of each
+    other's ``prefix_length`` first ones. A shingle that one text alone has links nothing,
+    so texts with enough of those leave at once. All texts with a shared shingle in their
+    prefix are linked to the smallest of them, a link for each text and not for each pair.
+    Nothing is verified here. Texts without words share one shingle.
+    """
+    spark = docs.sparkSession
+    ship(spark)
+    # Fewer for what is left after the first exchange, so that blobs do not grow with the square of the partitions.
+    fewer = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    targets = 4 * fewer
+    modulus = np.uint64(targets)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, nodes, sizes, held = [], [], [], 0
+        for batch in batches:
+            for node, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                own = np.unique(shingle_hashes(text.as_py(), shingle))
+                own = own if len(own) else np.zeros(1, np.uint64)
+                hashes.append(own)
+                nodes.append(np.full(len(own), node, np.int64))
+                sizes.append(np.full(len(own), len(own), np.uint32))
+                held += len(own)
+                if held > HELD:
+                    h = np.concatenate(hashes)
+                    yield cut(h % modulus, targets, [h, np.concatenate(nodes), np.concatenate(sizes)])
+                    hashes, nodes, sizes, held = [], [], [], 0
+        if held:
+            h = np.concatenate(hashes)
+            yield cut(h % modulus, targets, [h, np.concatenate(nodes), np.concatenate(sizes)])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for h, node, size in by_target(batches, [np.uint64, np.int64, np.uint32]):
+            order = np.lexsort((node, h))
+            h, node, size = h[order], node[order], size[order]
+            # Equal texts are one node.
+            new = np.concatenate(([True], (h[1:] != h[:-1]) | (node[1:] != node[:-1])))
+            h, node, size = h[new], node[new], size[new]
+            starts = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+            counts = np.diff(np.concatenate((starts, [len(h)])))
+            count = np.repeat(counts, counts)
+            many = count > 1
+            if many.any():
+                node = node[many]
+                yield cut(node.view(np.uint64) % np.uint64(fewer), fewer, [node, h[many], count[many].astype(np.uint32), size[many]])
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for node, h, count, size in by_target(batches, [np.int64, np.uint64, np.uint32, np.uint32]):
+            order = np.lexsort((h, count, node))
+            node, h, size = node[order], h[order], size[order].astype(np.int64)
+            starts = np.flatnonzero(np.concatenate(([True], node[1:] != node[:-1])))
+            shared = np.diff(np.concatenate((starts, [len(node)])))
+            rank = np.arange(len(node)) - np.repeat(starts, shared)
+            # Before the shared shingles come those that this text alone has.
+            first = rank + size - np.repeat(shared, shared) < prefix_length(size, similarity)
+            yield pa.RecordBatch.from_arrays([pa.array(h[first].view(np.int64)), pa.array(node[first])], ["h", "node"])
+
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    dealt = docs.select(F.xxhash64(text).alias("node"), text.alias("text")).mapInArrow(deal, "target int, blob binary")
+    met = dealt.repartition(targets, "target").sortWithinPartitions("target").mapInArrow(meet, "target int, blob binary")
+    firsts = met.repartition(fewer, "target").sortWithinPartitions("target").mapInArrow(settle, "h long, node long")
+    firsts = materialize(firsts, "prefixes")
+    heads = firsts.groupBy("h").agg(F.min("node").alias("b"), F.count("*").alias("n")).where("n > 1").select("h", "b")
+    return firsts.join(heads.hint("merge"), "h").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
+
+
 def near_copies(
     docs: DataFrame,
-    feature: int = 2,
-    radius: int = 8,
     shingle: int = 5,
     similarity: float = 0.8,
     id_col: str = "doc_id",
@@ -272,16 +382,20 @@ def near_copies(
 ) -> DataFrame:
     """``id_col, keep_id``: texts whose shingles are similar to those of a smaller identifier that stays.
 
-    SimHash components over shingles of ``feature`` words gather the candidates. Identifiers
-    then decide in ascending order within a component: one that is at least ``similarity``
-    (Jaccard, shingles of ``shingle`` words) to an identifier that stays is its copy, all
-    others stay. First every member is compared with its component's smallest identifier by
-    a join that spreads over tasks, which settles large groups of copies; what is left of a
-    component streams through one task, which holds the shingles of those that stay and
-    finds the similar ones among them by their smallest hashes (prefix filtering).
+    Components of ``shared_shingles`` gather the candidates: every pair that is at least
+    ``similarity`` (Jaccard, shingles of ``shingle`` words) alike lies within one. Identifiers
+    then decide in ascending order within a component: one that is that similar to an
+    identifier that stays is its copy, all others stay. First every member is compared with
+    its component's smallest identifier by a join that spreads over tasks, which settles
+    large groups of copies; what is left of a component streams through one task, which
+    holds the shingles of those that stay and finds the similar ones among them by their
+    smallest hashes (prefix filtering). Rows with a null identifier are not compared.
     """
-    found = simhash_components(docs, feature, radius, id_col, text_col).select(
-        F.col(id_col).alias("id"), F.col("component_id").alias("part")
+    digest = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    rows = docs.select(F.col(id_col).alias("id"), digest.alias("node"))
+    roots = connected_components(shared_shingles(docs, shingle, similarity, text_col)).withColumnRenamed("node", "own")
+    found = rows.join(roots.hint("merge"), rows["node"] == roots["own"], "left").select(
+        "id", F.coalesce("root", "node").alias("part")
     )
     many = found.groupBy("part").agg(F.count("*").alias("n")).where("n > 1").select("part")
     members = found.join(many.hint("merge"), "part").where("id is not null").distinct()
@@ -334,7 +448,7 @@ class Kept:
     def decide(self, i: int, text: str) -> int | None:
         """The kept identifier that the text is a copy of; None if it stays, or is the same identifier."""
         own = set(shingle_hashes(text, self.shingle).tolist())
-        prefix = sorted(own)[: len(own) - math.ceil(self.similarity * len(own)) + 1] or [-1]
+        prefix = sorted(own)[: int(prefix_length(len(own), self.similarity))] if own else [-1]
         for k in sorted({k for h in prefix for k in self.index.get(h, ())}):
             other = self.sets[k]
             shared = len(own & other)

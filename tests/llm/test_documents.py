@@ -291,6 +291,34 @@ def test_near_copies_are_verified(spark, sf):
         assert any(shingle_similarity(texts[gone], texts[k], 5) >= 0.8 for k in left)
 
 
+def test_near_copies_with_block_edits_equal_brute_force(spark):
+    import random
+
+    from callsift.llm.simhash import drop_near_copies, shingle_similarity
+
+    rng = random.Random(4)
+    ranks = range(1, 5000)
+    draw = lambda n: rng.choices([f"w{k}" for k in ranks], [1 / k for k in ranks], k=n)
+    license_line, rows, pairs = draw(12), [], 0
+    for k in range(70):
+        w = draw(rng.randint(60, 500)) + license_line * (k % 3 == 0)
+        n = len(w)
+        extra = round(n * rng.choice([0.12, 0.16, 0.2, 0.24, 0.27]))
+        at = rng.randrange(n - extra)
+        edits = [w + draw(extra), w[:-extra], w[:at] + w[at + extra :], w[:at] + draw(extra // 2) + w[at:], draw(extra) + w]
+        rows += [(10 * k, " ".join(w)), (10 * k + 1, " ".join(edits[k % 5]))]
+        pairs += shingle_similarity(rows[-1][1], rows[-2][1], 5) >= 0.8
+    rows += [(900, ""), (901, None), (902, "one two"), (903, "One  two"), (904, "two one"), (None, "one two")]
+    kept = []
+    for i, t in sorted((r for r in rows if r[0] is not None)):
+        if not any(shingle_similarity(t or "", u or "", 5) >= 0.8 for _, u in kept):
+            kept.append((i, t))
+    assert pairs >= 30
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert {r.doc_id for r in drop_near_copies(docs).collect()} == {i for i, _ in kept} | {None}
+
+
 # --- packing --------------------------------------------------------------------------------
 
 
