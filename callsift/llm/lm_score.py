@@ -7,8 +7,9 @@ also given per token.
 
 Tokens are lower-cased runs without white space. The vocabulary is the most frequent ones
 by counts over all documents; every other token is one of ``SUFFIXES`` endings. The
-network is trained here, in numpy: a start is fitted on the driver from a small sample;
-then every task trains on one window in ``STRIDE`` of each of its documents, and the
+network is trained here, in numpy: a start is fitted on the driver from a small sample
+that hashes of the texts choose;
+then every task trains on every window of each of its documents, and the
 networks are averaged, weighted by windows, over as many rounds as asked. Networks have a
 fixed size and are averaged in two steps, so the driver sees a fixed number of them.
 Scoring covers every token of every whole text and needs no shuffle.
@@ -40,8 +41,8 @@ SUFFIXES = 192
 WORDS = SIZE - SUFFIXES
 PAD = SIZE
 EMBED, HIDDEN = 16, 32
-#: Each document trains on one window in so many.
-STRIDE = 16
+#: Each document trains on one window in so many: on all.
+STRIDE = 1
 BATCH = 1024
 RATE = 0.01
 #: Documents of the driver's start.
@@ -189,15 +190,17 @@ class Trainer:
         self.held.append((context, target))
         self.size += len(target)
         if self.size >= BATCH:
-            self.flush()
+            self.flush(self.size // BATCH * BATCH)
 
-    def flush(self) -> None:
+    def flush(self, n: int | None = None) -> None:
+        """Train on the first ``n`` windows held, or on all; the rest waits for more."""
         if not self.size:
             return
         context, target = map(np.concatenate, zip(*self.held))
-        self.held, self.size = [], 0
-        for at in range(0, len(target), BATCH):
-            self.step(context[at : at + BATCH], target[at : at + BATCH])
+        n = len(target) if n is None else n
+        for at in range(0, n, BATCH):
+            self.step(context[at : min(at + BATCH, n)], target[at : min(at + BATCH, n)])
+        self.held, self.size = ([(context[n:], target[n:])], len(target) - n) if n < len(target) else ([], 0)
 
     def step(self, context: np.ndarray, target: np.ndarray) -> None:
         g = self.net.gradient(context, target).flat
@@ -235,7 +238,11 @@ def fit(docs: DataFrame, rounds: int = 1, stride: int = STRIDE, text_col: str =
     tokens = Tokens([r.word for r in top])
     text = docs.select(F.col(text_col).cast("string").alias("t"))
     trainer = Trainer(Network())
-    for r in text.where("t is not null").limit(START_DOCS).collect():
+    # Only hashes are ordered, so that no task sends whole texts to the driver to be turned down there.
+    h = F.xxhash64("t")
+    first = text.where("t is not null").select(h.alias("h")).distinct().orderBy("h").limit(START_DOCS).collect()
+    start = text.where("t is not null").where(h <= (first[-1].h if first else 0)).distinct().collect()
+    for r in sorted(start):
         train_on(trainer, tokens.of(r.t), 2)
     trainer.flush()
     net = trainer.net

@@ -1,6 +1,7 @@
 """The window network against finite differences, plain loops and shuffled texts."""
 
 import random
+from collections import Counter
 
 import numpy as np
 
@@ -44,3 +45,20 @@ def test_scores_of_documents(spark, sf):
     total = sum(r.log_likelihood for r in out if r.n_tokens) / sum(r.n_tokens for r in out)
     assert total > -np.log(m.SIZE)
     assert m.score(spark.createDataFrame([], "doc_id long, text string"), tokens, net).count() == 0
+
+
+def test_production_training_covers_every_token(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    short = spark.createDataFrame([(-1, "one two three four"), (-2, None), (-3, "")], "doc_id long, text string")
+    docs = docs.union(short)
+    texts = [r.text or "" for r in docs.collect()]
+    trainer = m.Trainer(m.Network())
+    words = Counter(w for t in texts for w in t.lower().split())
+    tokens = m.Tokens([w for w, _ in words.most_common(m.WORDS)])
+    for t in texts:
+        m.train_on(trainer, tokens.of(t), m.STRIDE)
+    assert trainer.seen + trainer.size == sum(words.values())
+    tokens, net = m.fit(docs)  # as op7 calls it
+    rows = m.score(docs, tokens, net).collect()
+    total = sum(r.log_likelihood for r in rows) / sum(r.n_tokens for r in rows)
+    assert sum(r.n_tokens for r in rows) == sum(words.values()) and total > -np.log(m.SIZE)
