@@ -110,24 +110,51 @@ def test_drop_exact_copies(spark):
     assert sorted(texts) == sorted({t or "" for t in TEXTS} | {"no id"})
 
 
-@given(st.dictionaries(st.integers(0, 65535), st.integers(1, 50), max_size=60), st.integers(1, 80))
-@settings(max_examples=60, deadline=None)
-def test_directory_splits_only_overfull_buckets(counts, capacity):
-    from callsift.llm.exact_dedup import split_directory
-
-    rows = split_directory(counts, capacity)
-    assert [p for p, _, _ in rows] == sorted(counts)
-    loads, depth = Counter(), {}
-    for p, b, d in rows:
-        loads[b] += counts[p]
-        assert depth.setdefault(b, d) == d
-    for b, n in loads.items():
-        assert n <= capacity or depth[b] == 16
-        prefix = {p >> (16 - depth[b]) for p, x, _ in rows if x == b}
-        assert len(prefix) == 1
-        if depth[b]:  # its parent was overfull
-            parent = next(iter(prefix)) >> 1
-            assert sum(n for p, n in counts.items() if p >> (17 - depth[b]) == parent) > capacity
+def test_null_identifiers_leave_one_row_of_a_text(spark):
+    from callsift.llm.exact_dedup import drop_exact_copies
+
+    rows = [(1, "t", 0), (None, "t", 1), (2, "t", 2), (None, "u", 3), (None, "u", 4), (5, "v", 5), (5, "v", 6), (5, "w", 7)]
+    out = drop_exact_copies(spark.createDataFrame(rows, "doc_id long, text string, bucket int")).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in out) == [(0, "u"), (2, "t"), (5, "v"), (5, "w")]
+    assert drop_exact_copies(empty(spark)).count() == 0
+
+
+def plain_directory(keys, capacity):
+    """An extendible hash filled key by key: buckets as (leading bits, depth)."""
+    buckets = {("", 0): []}
+    for key in keys:
+        bits = format(key % 2**64, "064b")
+        at = next((p, d) for p, d in buckets if bits.startswith(p))
+        buckets[at].append(bits)
+        todo = [at]
+        while todo:
+            p, d = todo.pop()
+            if len(buckets[p, d]) > capacity:
+                held = buckets.pop((p, d))
+                for b in "01":
+                    buckets[p + b, d + 1] = [k for k in held if k[d] == b]
+                    todo.append((p + b, d + 1))
+    return {k: p for (p, d), held in buckets.items() for k in held}
+
+
+@pytest.mark.parametrize("shape", ["even", "one prefix", "few", "none"])
+def test_directory_names_the_bucket_that_splitting_gives(spark, shape):
+    """Keys that share 30 leading bits need pages below the root."""
+    import random
+
+    from callsift.llm.exact_dedup import build_directory
+
+    rng = random.Random(2)
+    keys = {"even": [rng.getrandbits(64) - 2**63 for _ in range(700)], "few": [7, -9], "none": []}.get(shape)
+    if keys is None:
+        keys = [(5 << 34 | rng.getrandbits(34)) - 2**62 for _ in range(300)] + [rng.getrandbits(64) - 2**63 for _ in range(100)]
+    table = spark.createDataFrame([(k,) for k in keys], "key long")
+    capacity = 5
+    directory = build_directory(table, capacity)
+    got = {format(r.key % 2**64, "064b"): r.bucket for r in directory.locate(table).collect()}
+    want = plain_directory(keys, capacity)
+    assert {k: format(b % 2**64, "064b") for k, b in got.items()} == {k: p.ljust(64, "0") for k, p in want.items()}
+    assert len(directory.pages) == {"one prefix": 4}.get(shape, 1)
 
 
 # --- secrets --------------------------------------------------------------------------------
