@@ -1,19 +1,21 @@
 """Exact top-k inner-product search with a ball tree per shard.
 
 A task reads its rows in shards of at most ``shard_rows`` vectors, collapses equal
-vectors to their smallest ``k + 1`` identifiers, and builds a ball tree: a node with
-centre ``c`` and radius ``r`` can hold no vector whose inner product with a query ``q``
-exceeds ``q.c + |q| r``. Each query walks a tree best bound first and stops at the first
-node whose bound is below its current k-th score. That score is shared: every query
-starts from the k-th score over a small sample of the table, and carries what it has
-reached from shard to shard of a task. Queries come in blocks of bounded size, against
-all rows; the best k per task meet in one window per query.
+vectors, and builds a ball tree: a node with centre ``c`` and radius ``r`` can hold no
+vector whose inner product with a query ``q`` exceeds ``q.c + |q| r``. Each query walks a
+tree best bound first and stops at the first node whose bound is below its current k-th
+score. That score is shared: every query starts from the k-th score over a small sample of
+the table, and carries what it has reached from shard to shard of a task. Queries come in
+packed blocks of bounded size, against all rows, so the driver holds one block at a time;
+the best k per task meet in one window per query.
 
 Arithmetic is exact as long as scores stay below 2**53. Edge cases: vectors that are
 null or hold null or non-finite components, and rows without an identifier, take no
-part; vectors of different length never meet; repeated rows of one identifier are never
-each other's neighbours; ties go to the smaller identifier; fewer than k candidates give
-fewer rows.
+part; vectors of different length never meet; every row is a candidate of its own, so a
+row that repeats an identifier takes a rank of its own; rows with the query's identifier,
+however many, are never its neighbours; a repeated query row is asked once; ties go to the
+smaller identifier; fewer than k candidates give fewer rows; an empty table gives none;
+further columns are never read.
 """
 
 from __future__ import annotations
@@ -27,15 +29,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from callsift.llm._shared import materialize
+from callsift.llm._shared import discard, materialize
 from callsift.shipping import ship
 
 #: Vectors per ball tree.
 SHARD_ROWS = 32_768
 #: Vectors per leaf.
 LEAF_ROWS = 128
-#: Queries per block; a block travels with each task.
-BLOCK_QUERIES = 2048
+#: Queries per block; a block travels with each task, and every block costs a pass over the table.
+BLOCK_QUERIES = 16_384
 #: Rows whose scores give every query its first k-th score.
 SEED_ROWS = 2048
 
@@ -118,20 +120,30 @@ def walk(tree: BallTree, ids: np.ndarray, q: np.ndarray, own: int, best: Best) -
 
 
 def collapse(ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct vectors and the ``k + 1`` smallest identifiers of each, padded with -1."""
-    order = np.argsort(ids, kind="stable")
-    ids, x = ids[order], np.ascontiguousarray(x[order])
-    raw = x.view(np.dtype((np.void, x.dtype.itemsize * max(1, x.shape[1])))).ravel() if x.shape[1] else np.zeros(len(x), "V1")
-    _, first, group = np.unique(raw, return_index=True, return_inverse=True)
-    by = np.argsort(group, kind="stable")
-    sizes = np.bincount(group)
-    place = np.arange(len(ids)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    out = np.full((len(first), k + 1), -1, np.int64)
-    keep = place <= k
-    out[group[by][keep], place[keep]] = ids[by][keep]
+    """Distinct vectors and identifiers of each, ascending, padded with -1.
+
+    At most ``k`` rows of one identifier and ``2 k`` of one vector are listed: without any
+    one identifier that leaves the ``k`` smallest of the others, or all of them.
+    """
+    _, group = np.unique(np.ascontiguousarray(x).view(np.dtype((np.void, x.dtype.itemsize * x.shape[1]))).ravel(), return_inverse=True) if x.shape[1] else (0, np.zeros(len(x), np.int64))
+    by = np.lexsort((ids, group))
+    group, ids, x = group[by], ids[by], x[by]
+    place = _places((group[1:] != group[:-1]) | (ids[1:] != ids[:-1]))
+    group, ids, x = group[place < k], ids[place < k], x[place < k]
+    place = _places(group[1:] != group[:-1])
+    first = place == 0
+    out = np.full((int(first.sum()), 2 * k), -1, np.int64)
+    keep = place < 2 * k
+    out[(np.cumsum(first) - 1)[keep], place[keep]] = ids[keep]
     return x[first], out
 
 
+def _places(new: np.ndarray) -> np.ndarray:
+    """Place of every element in its run, given flags of the later runs' first elements."""
+    starts = np.flatnonzero(np.concatenate(([True], new)))
+    return np.arange(len(new) + 1) - np.repeat(starts, np.diff(np.append(starts, len(new) + 1)))
+
+
 def _vectors(batch: pa.RecordBatch) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """``{length: (ids, matrix)}`` of a batch of ``id, v``."""
     ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -155,17 +167,45 @@ def quantized(vectors: DataFrame, scale: int, id_col: str, vec_col: str) -> Data
     )
 
 
-def _blocks(queries: DataFrame, size: int) -> Iterator[list[tuple[int, list[float]]]]:
-    held = []
-    for row in queries.toLocalIterator():
-        held.append((row.id, row.v))
-        if len(held) == size:
+def _packed(queries: DataFrame, size: int) -> DataFrame:
+    """``n, length, ids, v``: at most ``size`` queries of one length a row, as numbers in binary."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for length, (ids, x) in _vectors(batch).items() if batch.num_rows else ():
+                for at in range(0, len(ids), size):
+                    own, v = ids[at : at + size], x[at : at + size]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([len(own)]), pa.array([length]), pa.array([own.tobytes()]), pa.array([v.tobytes()])], ["n", "length", "ids", "v"]
+                    )
+
+    return queries.mapInArrow(run, "n long, length long, ids binary, v binary")
+
+
+def _blocks(packed: DataFrame, size: int) -> Iterator[list[tuple[np.ndarray, np.ndarray]]]:
+    held, n = [], 0
+    for row in packed.toLocalIterator():
+        if held and n + row.n > size:
             yield held
-            held = []
+            held, n = [], 0
+        held.append((np.frombuffer(row.ids, np.int64), np.frombuffer(row.v).reshape(row.n, row.length)))
+        n += row.n
     if held:
         yield held
 
 
+def start_scores(ids: np.ndarray, x: np.ndarray, sample: dict[int, tuple[np.ndarray, np.ndarray]], k: int) -> np.ndarray:
+    """The k-th score of each query over the sample; none is known where the sample is too small."""
+    out = np.full(len(ids), -np.inf)
+    own, v = sample.get(x.shape[1], (np.zeros(0, np.int64), x[:0]))
+    if len(own) > k:
+        for at in range(0, len(ids), 1024):
+            scores = x[at : at + 1024] @ v.T
+            scores[ids[at : at + 1024, None] == own] = -np.inf
+            out[at : at + 1024] = np.partition(scores, -k, axis=1)[:, -k]
+    return out
+
+
 def top_k(
     vectors: DataFrame,
     queries: DataFrame,
@@ -180,29 +220,26 @@ def top_k(
     spark = vectors.sparkSession
     ship(spark)
     rows = quantized(vectors, scale, id_col, vec_col)
-    asked = quantized(queries, scale, id_col, vec_col).distinct()
-    sample = [(r.id, np.array(r.v)) for r in rows.limit(SEED_ROWS).collect()]
+    asked = materialize(_packed(quantized(queries, scale, id_col, vec_col).distinct(), block_queries), "queries")
+    sample: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for row in _packed(rows.limit(SEED_ROWS), SEED_ROWS).collect():
+        own, v = np.frombuffer(row.ids, np.int64), np.frombuffer(row.v).reshape(row.n, row.length)
+        old = sample.get(row.length, (own[:0], v[:0]))
+        sample[row.length] = np.concatenate((old[0], own)), np.concatenate((old[1], v))
     schema = "query_id long, id long, score long"
     answers = spark.createDataFrame([], "query_id long, rank int, id long, score long")
     for block in _blocks(asked, block_queries):
-        floors = []
-        for own, v in block:
-            q = np.array(v)
-            # Different identifiers only, so that every sampled score is a candidate's.
-            scores = sorted({i: float(x @ q) for i, x in sample if i != own and len(x) == len(q)}.values(), reverse=True)
-            floors.append(scores[k - 1] if len(scores) >= k else -np.inf)
-        sent = spark.sparkContext.broadcast([(own, np.array(v), f) for (own, v), f in zip(block, floors)])
+        sent = spark.sparkContext.broadcast([(ids, x, start_scores(ids, x, sample, k)) for ids, x in block])
 
         def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            block = sent.value
-            best = [Best(k, floor) for _, _, floor in block]
+            block = [(int(own), q, Best(k, floor)) for ids, x, floors in sent.value for own, q, floor in zip(ids, x, floors.tolist())]
 
             def solve(n: int, ids: np.ndarray, x: np.ndarray) -> None:
                 x, ids = collapse(ids, x, k)
                 tree = BallTree(x)
-                for (own, q, _), b in zip(block, best):
+                for own, q, best in block:
                     if len(q) == n:
-                        walk(tree, ids, q, own, b)
+                        walk(tree, ids, q, own, best)
 
             held: dict[int, list] = {}
             for batch in batches:
@@ -215,7 +252,7 @@ def top_k(
                             solve(n, *map(np.concatenate, zip(*held.pop(n))))
             for n in list(held):
                 solve(n, *map(np.concatenate, zip(*held.pop(n))))
-            out = [(own, i, int(-s)) for (own, _, _), b in zip(block, best) for s, i in b.found]
+            out = [(own, i, int(-s)) for own, _, best in block for s, i in best.found]
             a, b, c = zip(*out) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (a, b, c)], ["query_id", "id", "score"])
 
@@ -224,4 +261,5 @@ def top_k(
         done = materialize(found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k), "answers")
         sent.destroy()
         answers = answers.unionByName(done.withColumn("rank", F.col("rank").cast("int")))
+    discard(asked)
     return answers

@@ -29,6 +29,24 @@ def test_top_k(spark, shard):
     assert {tuple(r) for r in out} == plain(rows, lambda i: i % 50 == 0, 5) and len(out) == len({tuple(r) for r in out})
 
 
+def test_repeated_rows_are_candidates_each(spark):
+    """Rows as SQL joins them: those of the query's own identifier never, all others by themselves."""
+    from callsift.llm.topk import top_k
+
+    rows = [(0, [1.0, 0.5])] * 6 + [(i, [1.0, 0.5]) for i in range(1, 6)]
+    rows += [(7, [2.0, 2.0]), (7, [2.0, 2.0]), (8, [2.0, 2.0])] + [(9, [0.5, 1.0])] * 9 + [(9, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(2)
+    for own in (0, 7, 9):
+        q = next(v for i, v in rows if i == own)
+        vs = [(i, np.floor(256 * np.array(v)) @ np.floor(256 * np.array(q))) for i, v in rows if i != own]
+        want = [(i, int(s)) for i, s in sorted(vs, key=lambda x: (-x[1], x[0]))[:5]]
+        queries = df.where(f"vec_id = {own}").dropDuplicates()
+        if own == 9:
+            queries = queries.where("embedding[0] < 1")
+        got = sorted((r.rank, r.id, r.score) for r in top_k(df, queries, k=5).collect())
+        assert [(i, s) for _, i, s in got] == want and [r for r, _, _ in got] == [1, 2, 3, 4, 5]
+
+
 def test_top_k_of_nothing(spark):
     from callsift.llm.topk import top_k
 
