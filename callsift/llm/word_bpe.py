@@ -4,7 +4,8 @@ The vocabulary file is one of the public tokenizers' JSON files. Its pre-tokeniz
 never crosses white space, so a text's ids are those of its white-space chunks in
 order. Chunks are cached per worker. A chunk of plain Latin characters that is not
 cached is split and merged here, thousands of words at a time in numpy; any other
-chunk goes to the ``tokenizers`` library. Both give the library's ids.
+chunk, and one that may hold a special token (the library finds those in texts, too),
+goes to the ``tokenizers`` library. Both give the library's ids.
 """
 
 from __future__ import annotations
@@ -42,10 +43,10 @@ class WordBpe:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             model = json.load(f)["model"]
         vocab, end = model["vocab"], model["end_of_word_suffix"]
+        self.special = re.compile("|".join(re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()) or r"(?!)", re.I)
         if len(vocab) >= 1 << 16:
             raise ValueError("ids must fit 16 bits")
         chars = byte_characters()
@@ -107,7 +108,7 @@ class WordBpe:
                 ws = (c.lower(),)
             elif c.isascii() and c[:-1].isalpha() and c[-1] in ".,":
                 ws = (c[:-1].lower(), c[-1])
-            elif PLAIN.fullmatch(c):
+            elif PLAIN.fullmatch(c) and not self.special.search(c):
                 ws = PIECES.findall(c.lower())
             else:
                 odd.append(c)

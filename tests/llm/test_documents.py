@@ -357,11 +357,11 @@ def test_packing_pieces_and_sequences(spark, sf):
     from callsift.llm.packing import pack_documents
 
     path = public_tokenizers.path("word_bpe_49k.json")
-    library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True
+    library = Tokenizer.from_file(path)  # as loaded: special tokens in a text are special
+    special = spark.createDataFrame([(20_000, "a <|endoftext|> b"), (20_001, "x<|startoftext|>y<|ENDOFTEXT|>z <| end")], "doc_id long, text string")
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").union(
         table(spark).where("doc_id > 0").select(F.col("doc_id") + 10_000, "text")
-    )
+    ).union(special)
     texts = {r.doc_id: r.text or "" for r in docs.collect()}
     out = pack_documents(docs, path).collect()
     pieces, windows = defaultdict(list), defaultdict(list)
@@ -397,8 +397,8 @@ def test_differencing_fills_windows(lengths):
     assert max(sums) <= 2048 and len(windows) <= math.ceil(sum(lengths) / 2048) + 1
 
 
-@given(st.text(max_size=60))
-@settings(max_examples=200, deadline=None)
+@given(st.text(max_size=60) | st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "a", " ", "B.", "<|", "é", "\n"])).map("".join))
+@settings(max_examples=300, deadline=None)
 def test_word_ids_equal_the_librarys(t):
     import numpy as np
     import public_tokenizers
