@@ -1,20 +1,35 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-Two interpolated Kneser-Ney bigram models, one of toxic and one of ordinary texts, are
-trained from labelled rows. Words that are rare in training fall back to the class of
-their first letters, then to a common unknown word. Below their own bigram counts both
-models share one backoff: the continuation counts over both classes, so that a rare
-expression that only happens to stand in one class weighs little. A text's features are
-its log-likelihood ratio, toxic over ordinary, divided by its length and by the root of
-its length; ratios that chance explains count as none; a logistic curve, fitted on ratios from models that had not seen the text,
-turns them into a score between 0 and 1. Nothing but the text enters a score.
+Two interpolated models, one of toxic and one of ordinary texts, are trained from labelled
+rows. Each gives a distribution over the word ``w`` after ``h``, in three levels:
+
+    p_c(w | h) = e_c(h, w) + l_c(h) * p_c(w)
+    p_c(w)     = e_c(w)    + l_c    * p_shared(w)
+
+``e_c`` are discounted relative frequencies, ``max(count - discount, 0) / total``, and the
+weights ``l_c`` hand the discounted mass to the next level, so both sum to one. ``p_shared``
+is one Kneser-Ney unigram for both classes: a word's share of the *continuation counts*,
+the number of different words it follows, itself discounted towards the uniform. The
+discount of a word or pair is a constant plus ``THETA`` times the count that the two classes
+together would lead one to expect in this class: what is rare, or as common in either, is
+left to the shared backoff, and only a class's own expressions keep mass of their own.
+A word or pair counts once a text. Words that are rare in training fall back to the class of
+their first letters, then to a common unknown word.
+
+A text is judged by the length-normalised difference of its log-likelihoods, toxic less
+ordinary, per word and per root of the number of words (a word without evidence counts as
+zero in both); a logistic curve, fitted on texts that the models had not seen, turns the two
+into a score between 0 and 1. Nothing but the text enters a score.
 
 The models are fitted on a bounded sample of labelled rows (``max_docs``, the rows with
 the smallest hashed identifiers, so the sample is the same on every run); their size is
 bounded with it, and they travel with the task. Scoring reads every whole text where it
-lies, without a shuffle. Edge cases: null and empty texts get the score of a ratio of
-zero; null labels and labels without a document train nothing; with no labelled rows of
-one class every score is the share of toxic rows seen (0 if none were).
+lies, without a shuffle. Edge cases: null and empty texts have no evidence, like a text
+of ordinary words only; null labels and labels without a document train nothing; of an identifier's
+labels the largest counts; rows that repeat identifier and text train once, and a bound of
+``max_docs`` rows holds however often identifiers repeat; with no labelled rows of
+one class every score is the share of toxic rows seen (0 if none were); an empty table has
+no scores; further columns are never read.
 """
 
 from __future__ import annotations
@@ -35,18 +50,18 @@ from callsift.shipping import ship
 MAX_DOCS = 6000
 #: Scores from here on reject a document.
 THRESHOLD = 0.7
-#: Kneser-Ney discount of pair and of word counts.
+#: Kneser-Ney discount of the continuation counts.
 DISCOUNT = 0.75
-#: Occurrences below which a word falls back to its first letters.
+#: Texts discounted from a word's and from a pair's count in a class.
+WORD_DISCOUNT, PAIR_DISCOUNT = 3.0, 6.0
+#: Times the expected count that is discounted as well.
+THETA = 3.0
+#: Texts below which a word falls back to its first letters.
 LEAST_COUNT = 3
+#: Parts of the training texts; each is judged by models of the others to fit the curve.
+FOLDS = 5
 #: Letters of the class that a rare word falls back to.
 PREFIX = 5
-#: Occurrences of the shared backoff that every word and pair is topped up with.
-SHARED_WEIGHT = 3.0
-#: Log-ratios this near to zero are not told apart from chance.
-DEAD_ZONE = 1.2
-#: Occurrences below which a pair backs off to its word.
-LEAST_PAIR = 8
 
 WORDS = re.compile(r"\w+")
 UNKNOWN, START = 0, 1
@@ -54,18 +69,31 @@ UNKNOWN, START = 0, 1
 
 @dataclass
 class Model:
-    """Ratios in natural logarithms; ``pairs`` are sorted keys ``before * size + word``."""
+    """Both classes' tables, ordinary first; ``pairs`` are sorted keys ``before * size + word``."""
 
     vocabulary: dict[str, int]
+    shared: np.ndarray
     word: np.ndarray
+    word_rest: np.ndarray
     pairs: np.ndarray
-    pair_ratio: np.ndarray
+    pair: np.ndarray
+    pair_rest: np.ndarray
     curve: np.ndarray
 
     def ids(self, text: str) -> list[int]:
         get = self.vocabulary.get
         return [get(w) or get("\n" + w[:PREFIX], UNKNOWN) for w in WORDS.findall(text.lower())]
 
+    def log_probabilities(self, before: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """``(2, n)``: log p(word | before) in either class."""
+        own = np.zeros((2, len(word)))
+        if len(self.pairs):
+            key = before * len(self.shared) + word
+            at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+            own = np.where(self.pairs[at] == key, self.pair[:, at], 0.0)
+        back = self.word[:, word] + self.word_rest[:, None] * self.shared[word]
+        return np.log(own + self.pair_rest[:, before] * back)
+
     def features(self, texts: list[str]) -> np.ndarray:
         coded = [self.ids(t) for t in texts]
         lengths = np.fromiter(map(len, coded), np.int64, len(coded))
@@ -75,11 +103,8 @@ class Model:
         before = np.concatenate(([START], w[:-1]))
         first = np.cumsum(lengths) - lengths
         before[first[lengths > 0]] = START
-        ratio = self.word[w]
-        if len(self.pairs):
-            key = before * len(self.word) + w
-            at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-            ratio = np.where(self.pairs[at] == key, self.pair_ratio[at], ratio)
+        ordinary, toxic = self.log_probabilities(before, w)
+        ratio = toxic - ordinary - np.log(self.word_rest[1] / self.word_rest[0])
         total = np.add.reduceat(np.concatenate((ratio, [0.0])), np.minimum(first, len(ratio))) * (lengths > 0)
         n = np.maximum(lengths, 1)
         return np.column_stack((100 * total / n, total / np.sqrt(n)))
@@ -89,8 +114,8 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def count_models(texts: list[str], toxic: np.ndarray) -> Model:
-    """The ratio tables of both classes, without the curve."""
+def vocabulary_of(texts: list[str]) -> dict[str, int]:
+    """Ids of words in at least ``LEAST_COUNT`` texts, and of the others' common beginnings."""
     totals: Counter[str] = Counter()
     for t in texts:
         totals.update(set(WORDS.findall(t.lower())))
@@ -100,45 +125,43 @@ def count_models(texts: list[str], toxic: np.ndarray) -> Model:
         if w not in kept:
             prefixes[w[:PREFIX]] += n
     names = sorted(kept) + ["\n" + p for p in sorted(p for p, n in prefixes.items() if n >= LEAST_COUNT)]
-    vocabulary = {w: i + 2 for i, w in enumerate(names)}
-    size = len(names) + 2
-    blank = Model(vocabulary, np.zeros(size), np.zeros(0, np.int64), np.zeros(0), np.zeros(3))
+    return {w: i + 2 for i, w in enumerate(names)}
+
 
+def count_models(texts: list[str], toxic: np.ndarray) -> Model:
+    """The tables of both classes, without the curve."""
+    vocabulary = vocabulary_of(texts)
+    size = len(vocabulary) + 2
+    model = Model(vocabulary, np.full(size, 1 / size), np.zeros((2, size)), np.ones(2), np.zeros(0, np.int64), np.zeros((2, 0)), np.ones((2, size)), np.zeros(3))
     keys: list[list[np.ndarray]] = [[], []]
     for text, t in zip(texts, toxic):
-        ids = np.array([START, *blank.ids(text)], np.int64)
-        # A pair counts once a text: a word that one text repeats is no trait of its class.
+        ids = np.array([START, *model.ids(text)], np.int64)
         keys[int(t)].append(np.unique(ids[:-1] * size + ids[1:]))
     flat = [np.concatenate(k) if k else np.zeros(0, np.int64) for k in keys]
-    every, shared_n = np.unique(np.concatenate(flat), return_counts=True)
-    counts = [np.zeros(len(every)) for _ in range(2)]
+    every, both = np.unique(np.concatenate(flat), return_counts=True)
+    if not len(every):
+        return model
+    before, word = every // size, every % size
+    kinds = np.bincount(word, minlength=size)
+    model.shared = (np.maximum(kinds - DISCOUNT, 0) + DISCOUNT * (kinds > 0).sum() / size) / kinds.sum()
+    word_share = np.bincount(word, both, size) / both.sum()
+    pair_share = both / np.bincount(before, both, size)[before]
+    pair = np.zeros((2, len(every)))
     for c in range(2):
         own, n = np.unique(flat[c], return_counts=True)
-        counts[c][np.searchsorted(every, own)] = n
-    before, word = every // size, every % size
-
-    # Discounted counts, topped up with SHARED_WEIGHT occurrences dealt out as both classes
-    # together would: by their continuation counts for words, by their joint pair counts for
-    # pairs. What is rare in both classes keeps the shared distribution, so its ratio is near 1.
-    kinds = np.bincount(word, minlength=size) + 0.0  # different contexts a word stands in
-    contexts = [np.bincount(before, n, size) for n in counts]
-    word_ratio, pair_ratio = np.zeros(size), np.zeros(len(every))
-    both = np.bincount(word, counts[0] + counts[1], size)
-    for sign, n, context in ((-1, counts[0], contexts[0]), (1, counts[1], contexts[1])):
-        own = np.bincount(word, n, size)
-        share = own.sum() / max(both.sum(), 1)
-        # The discount's mass returns through the backoff, in proportion to continuation counts.
-        back = DISCOUNT * (own > 0).sum() * kinds / max(kinds.sum(), 1)
-        word_ratio += sign * np.log((np.maximum(own - DISCOUNT, 0) + back * share + SHARED_WEIGHT) / (share * both + SHARED_WEIGHT))
-        part = context[before] / np.maximum(contexts[0] + contexts[1], 1)[before]
-        pair_ratio += sign * np.log((np.maximum(n - DISCOUNT, 0) + SHARED_WEIGHT) / (part * shared_n + SHARED_WEIGHT))
-    # Within the dead zone the classes do not differ for sure: both use the shared distribution.
-    word_ratio, pair_ratio = (np.sign(r) * np.maximum(np.abs(r) - DEAD_ZONE, 0) for r in (word_ratio, pair_ratio))
-    # A pair met less often says less than its word does: it backs off to it.
-    firm = shared_n >= LEAST_PAIR
-    return Model(
-        vocabulary, word_ratio.astype(np.float32), every[firm], pair_ratio[firm].astype(np.float32), np.zeros(3),
-    )
+        counts = np.zeros(len(every))
+        counts[np.searchsorted(every, own)] = n
+        if not len(own):
+            continue
+        words, total = np.bincount(word, counts, size), counts.sum()
+        model.word[c] = np.maximum(words - WORD_DISCOUNT - THETA * total * word_share, 0) / total
+        context = np.bincount(before, counts, size)[before]
+        pair[c] = np.maximum(counts - PAIR_DISCOUNT - THETA * context * pair_share, 0) / np.maximum(context, 1)
+        model.word_rest[c] -= model.word[c].sum()
+        model.pair_rest[c] -= np.bincount(before, pair[c], size)
+    some = pair.any(0)
+    model.pairs, model.pair = every[some], pair[:, some]
+    return model
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray, steps: int = 60, ridge: float = 1e-2) -> np.ndarray:
@@ -163,20 +186,18 @@ def fit(texts: list[str], toxic: list[int]) -> Model:
     y = np.array(toxic, np.int64)
     if len(set(toxic)) < 2:
         model = count_models(texts, y)
-        model.word[:] = 0
-        model.pair_ratio[:] = 0
         share = float(y.mean()) if len(y) else 0.0
         model.curve = np.array([np.log(share + 1e-9) - np.log(1 - share + 1e-9), 0.0, 0.0])
         return model
-    # Folds within each class, so that both folds know both classes.
+    # Folds within each class, so that every fold knows both classes.
     fold = np.zeros(len(y), np.int64)
     for c in (0, 1):
-        fold[y == c] = np.arange((y == c).sum()) % 2
+        fold[y == c] = np.arange((y == c).sum()) % FOLDS
     x = np.zeros((len(y), 2))
     if min((y == 1).sum(), (y == 0).sum()) >= 2:
-        for f in (0, 1):
-            half = count_models([t for t, g in zip(texts, fold) if g != f], y[fold != f])
-            x[fold == f] = half.features([t for t, g in zip(texts, fold) if g == f])
+        for f in range(FOLDS):
+            part = count_models([t for t, g in zip(texts, fold) if g != f], y[fold != f])
+            x[fold == f] = part.features([t for t, g in zip(texts, fold) if g == f])
     model = count_models(texts, y)
     model.curve = fit_curve(x, y)
     return model
@@ -184,10 +205,12 @@ def fit(texts: list[str], toxic: list[int]) -> Model:
 
 def training_rows(docs: DataFrame, labels: DataFrame, max_docs: int, id_col: str, text_col: str, label_col: str) -> DataFrame:
     """At most ``max_docs`` labelled texts, by hashed identifier; ``labels`` holds training rows only."""
-    known = labels.where(F.col(label_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
-    chosen = known.orderBy(F.xxhash64("id"), "id").limit(max_docs)
+    known = labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("y"))
+    chosen = known.where("id is not null").orderBy(F.xxhash64("id"), "id").limit(max_docs)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.col(id_col).alias("id"), text.alias("text")).join(F.broadcast(chosen), "id")
+    found = docs.select(F.col(id_col).alias("id"), text.alias("text")).join(F.broadcast(chosen), "id")
+    # More than max_docs rows only where identifiers repeat.
+    return found.orderBy("id", F.xxhash64("text")).limit(max_docs)
 
 
 def fit_toxicity(

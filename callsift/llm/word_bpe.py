@@ -46,7 +46,8 @@ class WordBpe:
         with open(path, encoding="utf-8") as f:
             model = json.load(f)["model"]
         vocab, end = model["vocab"], model["end_of_word_suffix"]
-        self.special = re.compile("|".join(re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()) or r"(?!)", re.I)
+        #: Beginning that all special tokens share; a chunk without it holds none.
+        self.special = os.path.commonprefix([t.content for t in self.library.get_added_tokens_decoder().values()])
         if len(vocab) >= 1 << 16:
             raise ValueError("ids must fit 16 bits")
         chars = byte_characters()
@@ -108,7 +109,7 @@ class WordBpe:
                 ws = (c.lower(),)
             elif c.isascii() and c[:-1].isalpha() and c[-1] in ".,":
                 ws = (c[:-1].lower(), c[-1])
-            elif PLAIN.fullmatch(c) and not self.special.search(c):
+            elif self.special not in c and PLAIN.fullmatch(c):
                 ws = PIECES.findall(c.lower())
             else:
                 odd.append(c)

@@ -432,10 +432,58 @@ def test_toxicity_edges(spark):
     docs = table(spark)
     labels = spark.createDataFrame([(0, None), (99, 1)], "doc_id long, toxic int")
     model = fit_toxicity(docs, labels)
-    assert {r.score for r in score_toxicity(docs, model).collect()} != set()
-    model = fit(["you vile fool", "vile vile fool", "vile fool now", "a kind day", "kind sunny day", "a kind word"], [1, 1, 1, 0, 0, 0])
+    assert {round(r.score, 6) for r in score_toxicity(docs, model).collect()} == {0.0}  # nothing was learnt
+    labels = spark.createDataFrame([(0, 1), (0, 0), (0, 1), (1, 1), (None, 0)], "doc_id long, toxic int")
+    model = fit_toxicity(docs, labels, max_docs=2)  # repeated labels and rows, one class
+    assert {round(r.score, 6) for r in score_toxicity(docs, model).collect()} == {1.0}
+    model = fit(["vile fool"] * 2 + [f"you vile fool {i}" for i in range(30)] + [f"a kind day {i}" for i in range(60)], [1] * 32 + [0] * 60)
+    assert model.score(["you vile fool"])[0] > 0.5 > model.score(["a kind day"])[0]
+    assert model.score([""])[0] < 0.5  # no evidence
     assert score_toxicity(empty(spark), model).count() == 0
-    assert drop_toxic(docs, model).columns == docs.columns
+    assert drop_toxic(empty(spark), model).count() == 0
+    left = drop_toxic(docs, model)
+    assert left.columns == docs.columns and left.count() == docs.count()
+
+
+def test_toxicity_models_are_distributions_and_equal_their_definition():
+    import random
+
+    import numpy as np
+
+    from callsift.llm import toxicity as m
+
+    rng = random.Random(3)
+    texts = [" ".join(rng.choices("the a of dog cat sun".split() + ["vile", "fool"] * t, k=rng.randint(0, 9))) for t in (0, 1) for _ in range(80)]
+    toxic = [0] * 80 + [1] * 80
+    model = m.count_models(texts, np.array(toxic))
+    names = ["?", "^"] + sorted(model.vocabulary, key=model.vocabulary.get)
+    size = len(names)
+    pairs, words, kinds = [Counter(), Counter()], [Counter(), Counter()], defaultdict(set)
+    for t, y in zip(texts, toxic):
+        line = ["^", *t.split()]
+        for h, w in set(zip(line, line[1:])):
+            pairs[y][h, w] += 1
+            words[y][w] += 1
+            kinds[w].add(h)
+    n_kinds = sum(map(len, kinds.values()))
+    shared = {w: (max(len(kinds[w]) - 0.75, 0) + 0.75 * len([k for k in names if kinds[k]]) / size) / n_kinds for w in names}
+    for c in (0, 1):
+        total, all_ = sum(words[c].values()), sum(words[0].values()) + sum(words[1].values())
+        e = {w: max(words[c][w] - 3 - 3 * total * (words[0][w] + words[1][w]) / all_, 0) / total for w in names}
+        rest = 1 - sum(e.values())
+        for b, h in enumerate(names):
+            own = sum(n for (x, _), n in pairs[c].items() if x == h)
+            seen = sum(n for k in (0, 1) for (x, _), n in pairs[k].items() if x == h)
+            eh = {w: max(pairs[c][h, w] - 6 - 3 * own * (pairs[0][h, w] + pairs[1][h, w]) / max(seen, 1), 0) / max(own, 1) for w in names}
+            want = [eh[w] + (1 - sum(eh.values())) * (e[w] + rest * shared[w]) for w in names]
+            got = np.exp(model.log_probabilities(np.full(size, b), np.arange(size)))[c]
+            assert np.allclose(got, want) and abs(got.sum() - 1) < 1e-9
+    assert model.word[1].any() and not model.word[0, model.vocabulary["vile"]]
+    # The features are the length-normalised difference of the log-likelihoods.
+    ids = [1, *model.ids("the vile dog barks")]
+    logs = [sum(model.log_probabilities(np.array([h]), np.array([w]))[c, 0] for h, w in zip(ids, ids[1:])) for c in (0, 1)]
+    none = np.log(model.word_rest[1] / model.word_rest[0])
+    assert np.allclose(model.features(["the vile dog barks"])[0], [100 * ((logs[1] - logs[0]) / 4 - none), (logs[1] - logs[0] - 4 * none) / 2])
 
 
 # --- pipeline -------------------------------------------------------------------------------
