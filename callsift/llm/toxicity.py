@@ -10,9 +10,10 @@ rows. Each gives a distribution over the word ``w`` after ``h``, in three levels
 weights ``l_c`` hand the discounted mass to the next level, so both sum to one. ``p_shared``
 is one Kneser-Ney unigram for both classes: a word's share of the *continuation counts*,
 the number of different words it follows, itself discounted towards the uniform. The
-discount of a word or pair is a constant plus ``THETA`` times the count that the two classes
-together would lead one to expect in this class: what is rare, or as common in either, is
-left to the shared backoff, and only a class's own expressions keep mass of their own.
+discount of a word or pair is a constant plus ``THETA`` times the count that the other class,
+given as many more texts as the constant, would lead one to expect in this one: what is rare,
+or as common in either, is left to the shared backoff, and only a class's own expressions
+keep mass of their own.
 A word or pair counts once a text. Words that are rare in training fall back to the class of
 their first letters, then to a common unknown word.
 
@@ -138,25 +139,27 @@ def count_models(texts: list[str], toxic: np.ndarray) -> Model:
         ids = np.array([START, *model.ids(text)], np.int64)
         keys[int(t)].append(np.unique(ids[:-1] * size + ids[1:]))
     flat = [np.concatenate(k) if k else np.zeros(0, np.int64) for k in keys]
-    every, both = np.unique(np.concatenate(flat), return_counts=True)
+    every = np.unique(np.concatenate(flat))
     if not len(every):
         return model
     before, word = every // size, every % size
     kinds = np.bincount(word, minlength=size)
     model.shared = (np.maximum(kinds - DISCOUNT, 0) + DISCOUNT * (kinds > 0).sum() / size) / kinds.sum()
-    word_share = np.bincount(word, both, size) / both.sum()
-    pair_share = both / np.bincount(before, both, size)[before]
-    pair = np.zeros((2, len(every)))
+    counts = np.zeros((2, len(every)))
     for c in range(2):
         own, n = np.unique(flat[c], return_counts=True)
-        counts = np.zeros(len(every))
-        counts[np.searchsorted(every, own)] = n
-        if not len(own):
+        counts[c, np.searchsorted(every, own)] = n
+    words = np.array([np.bincount(word, n, size) for n in counts])
+    context = np.array([np.bincount(before, n, size)[before] for n in counts])
+    pair = np.zeros((2, len(every)))
+    for c in range(2):
+        total, other = words[c].sum(), 1 - c
+        if not total:
             continue
-        words, total = np.bincount(word, counts, size), counts.sum()
-        model.word[c] = np.maximum(words - WORD_DISCOUNT - THETA * total * word_share, 0) / total
-        context = np.bincount(before, counts, size)[before]
-        pair[c] = np.maximum(counts - PAIR_DISCOUNT - THETA * context * pair_share, 0) / np.maximum(context, 1)
+        expected = total * (words[other] + WORD_DISCOUNT) / (words[other].sum() + WORD_DISCOUNT)
+        model.word[c] = np.maximum(words[c] - WORD_DISCOUNT - THETA * expected, 0) / total
+        expected = context[c] * (counts[other] + PAIR_DISCOUNT) / (context[other] + PAIR_DISCOUNT)
+        pair[c] = np.maximum(counts[c] - PAIR_DISCOUNT - THETA * expected, 0) / np.maximum(context[c], 1)
         model.word_rest[c] -= model.word[c].sum()
         model.pair_rest[c] -= np.bincount(before, pair[c], size)
     some = pair.any(0)

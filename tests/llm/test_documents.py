@@ -468,13 +468,13 @@ def test_toxicity_models_are_distributions_and_equal_their_definition():
     n_kinds = sum(map(len, kinds.values()))
     shared = {w: (max(len(kinds[w]) - 0.75, 0) + 0.75 * len([k for k in names if kinds[k]]) / size) / n_kinds for w in names}
     for c in (0, 1):
-        total, all_ = sum(words[c].values()), sum(words[0].values()) + sum(words[1].values())
-        e = {w: max(words[c][w] - 3 - 3 * total * (words[0][w] + words[1][w]) / all_, 0) / total for w in names}
+        total, other = sum(words[c].values()), sum(words[1 - c].values())
+        e = {w: max(words[c][w] - 3 - 3 * total * (words[1 - c][w] + 3) / (other + 3), 0) / total for w in names}
         rest = 1 - sum(e.values())
         for b, h in enumerate(names):
             own = sum(n for (x, _), n in pairs[c].items() if x == h)
-            seen = sum(n for k in (0, 1) for (x, _), n in pairs[k].items() if x == h)
-            eh = {w: max(pairs[c][h, w] - 6 - 3 * own * (pairs[0][h, w] + pairs[1][h, w]) / max(seen, 1), 0) / max(own, 1) for w in names}
+            seen = sum(n for (x, _), n in pairs[1 - c].items() if x == h)
+            eh = {w: max(pairs[c][h, w] - 6 - 3 * own * (pairs[1 - c][h, w] + 6) / (seen + 6), 0) / max(own, 1) for w in names}
             want = [eh[w] + (1 - sum(eh.values())) * (e[w] + rest * shared[w]) for w in names]
             got = np.exp(model.log_probabilities(np.full(size, b), np.arange(size)))[c]
             assert np.allclose(got, want) and abs(got.sum() - 1) < 1e-9
