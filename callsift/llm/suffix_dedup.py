@@ -9,19 +9,23 @@ equal anchors. The steps:
    documents' groups which anchors occur in more than one document;
 2. the runs of windows (segments) under such anchors are collected per group of documents,
    equal ones once with their smallest identifier, and go to the anchor's owner;
-3. the owner builds the suffix array of its segments' windows, ordered to ``length`` bytes:
-   multikey quicksort over eight-byte characters down to a shallow depth, then blind tries
-   that place the members of each remaining group by their first difference from a pivot;
-   neighbours with a common prefix of ``length`` bytes are equal, and the smallest
-   identifier of each class goes back to the groups;
+3. the owner, in blocks of whole anchors, builds the suffix array of its distinct segments'
+   windows, ordered to ``length`` bytes by deep-shallow sorting: multikey quicksort (three-way
+   partition around a pivot character, all groups of a level at once) down to a shallow depth,
+   then a blind trie per remaining group. A member walks down by branching bytes only, is
+   compared once with the leaf it reaches, joins it if they agree to ``length`` bytes, else
+   splits the edge at their first difference; the tries are read out in order. Neighbours
+   with a common prefix of ``length`` bytes are equal, and where a smaller identifier holds a
+   window than the group's own, the group is told;
 4. the groups mark, in every document, the windows that a smaller identifier holds.
 
 A passage that a third of all documents share reaches its owner once per group of
-documents, not once per document. Texts are dealt to their groups once.
+documents, not once per document, and is sorted once. Texts are dealt to their groups once.
 
 Edge cases: null texts are empty; texts shorter than ``length`` lose nothing; rows with a
-null identifier neither lose bytes nor are a source; rows that repeat an identifier are one
-document's versions and never remove each other's bytes.
+null identifier neither lose bytes nor are a source, and are not dealt; rows that repeat an
+identifier are one document's versions and never remove each other's bytes; very long texts
+are taken whole; an empty table gives no rows; further columns are never read.
 """
 
 from __future__ import annotations
@@ -44,7 +48,9 @@ LONGEST = 128
 #: Depth of the multikey quicksort; deeper groups go to blind tries.
 SHALLOW = 16
 #: Bytes of text whose anchors are found at once.
-BLOCK = 2_000_000
+BLOCK = 1_000_000
+#: Windows that are sorted at once, rounded up to whole anchors.
+SORTED = 1_000_000
 
 
 # --- anchors --------------------------------------------------------------------------------
@@ -124,71 +130,186 @@ def _runs(*keys: np.ndarray) -> np.ndarray:
     return new
 
 
-def deep_shallow(buf: np.ndarray, starts: np.ndarray, length: int = LENGTH, shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
+def deep_shallow(
+    buf: np.ndarray, starts: np.ndarray, length: int = LENGTH, shallow: int = SHALLOW, apart: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes at ``starts`` in order of their first ``length`` bytes, and flags of new classes.
 
     ``order[i]`` is an index into ``starts``; ``first[i]`` says that suffix ``i`` differs from
-    the one before within ``length`` bytes. Every suffix has at least ``length`` bytes.
+    the one before within ``length`` bytes. Every suffix has at least ``length`` bytes. With
+    ``apart`` (ascending) only suffixes of equal value are sorted among each other.
     """
     n = len(starts)
     order, first = np.arange(n), np.zeros(n, bool)
     if not n:
         return order, first
     words = _words(np.concatenate((buf, np.zeros(length, np.uint8))))
-    first[0] = True
-    where = np.arange(n)  # places of the order that are not settled
-    group = np.zeros(n, np.int64)
-    depth = 0
-    while depth < shallow and len(where):  # multikey quicksort by eight-byte characters
+    group = np.zeros(n, np.int64) if apart is None else np.cumsum(_runs(apart)) - 1
+    first[_runs(group)] = True
+    deep = multikey_quicksort(words, starts, order, first, group, shallow)
+    for where, group in deep:
+        blind_tries(buf, words, starts, order, first, where, group, length)
+    return order, first
+
+
+def multikey_quicksort(
+    words: np.ndarray, starts: np.ndarray, order: np.ndarray, first: np.ndarray, group: np.ndarray, shallow: int
+) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Sort in place to ``shallow`` bytes, by characters of eight bytes.
+
+    Each round partitions every open group into what is less than, equal to and greater than
+    its pivot, the median of three members' characters; only what is equal moves on to the
+    next character. Returns ``(places, group)`` of what is still alike at ``shallow``.
+    """
+    where, depth = np.arange(len(order)), np.zeros(len(order), np.int64)
+    deep = []
+    while len(where):
+        heads = np.flatnonzero(_runs(group))
+        sizes = np.diff(np.append(heads, len(where)))
+        group = np.repeat(np.arange(len(heads)), sizes)
         own = order[where]
         key = words[starts[own] + depth]
-        by = np.lexsort((key, group))
-        order[where] = own = own[by]
-        new = _runs(group[by], key[by])
-        first[where] |= new
-        group = np.cumsum(new)
-        sizes = np.bincount(group)
-        many = sizes[group] > 1
-        where, group = where[many], group[many]
-        depth += 8
-    while len(where):  # blind tries, one level of all groups a round
-        own = order[where]
-        heads = _runs(group)
-        pivot = own[heads][np.cumsum(heads) - 1]
-        common = np.full(len(own), length)
-        a_char, b_char = np.zeros(len(own), np.int64), np.zeros(len(own), np.int64)
-        open_ = np.arange(len(own))
-        for d in range(depth, length, 8):
-            s, p = starts[own[open_]] + d, starts[pivot[open_]] + d
-            x = words[s] ^ words[p]
-            if d + 8 > length:
-                x >>= np.uint64(8 * (d + 8 - length))
-                x <<= np.uint64(8 * (d + 8 - length))
-            differs = np.flatnonzero(x)
-            if len(differs):
-                todo = open_[differs]
-                left = x[differs]
-                byte = 7 - (np.frexp(left.astype(np.float64))[1] - 1) // 8  # rounding up a power is caught below
-                byte = np.clip(byte, 0, 7)
-                shift = (8 * (7 - byte)).astype(np.uint64)
-                wrong = (left >> shift) & np.uint64(255) == 0
-                byte[wrong] += 1
-                common[todo] = d + byte
-                a_char[todo] = buf[starts[own[todo]] + common[todo]]
-                b_char[todo] = buf[starts[pivot[todo]] + common[todo]]
-                open_ = open_[x == 0]
-        less = (common < length) & (a_char < b_char)
-        more = (common < length) & (a_char > b_char)
-        rank = np.where(less, common, np.where(more, 3 * length - common, length))
-        by = np.lexsort((a_char, rank, group))
-        order[where] = own[by]
-        new = _runs(group[by], rank[by], a_char[by])
+        pivot = _middle(key[heads], key[heads + sizes // 2], key[heads + sizes - 1])[group]
+        part = 3 * group + (key >= pivot) + (key > pivot)
+        by = np.argsort(part, kind="stable")
+        order[where], part = own[by], part[by]
+        new = _runs(part)
         first[where] |= new
-        settled = (rank == length)[by]
-        group = np.cumsum(new)
-        many = (np.bincount(group)[group] > 1) & ~settled
-        where, group = where[many], group[many]
-    return order, first
+        depth = depth[by] + 8 * (part % 3 == 1)
+        group = np.cumsum(new) - 1
+        many = np.bincount(group)[group] > 1
+        done = many & (depth >= shallow)
+        if done.any():
+            deep.append((where[done], group[done]))
+        many &= depth < shallow
+        where, group, depth = where[many], group[many], depth[many]
+    return deep
+
+
+def _middle(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    return np.maximum(np.minimum(a, b), np.minimum(np.maximum(a, b), c))
+
+
+def common_prefix(words: np.ndarray, a: np.ndarray, b: np.ndarray, depth: int, length: int) -> np.ndarray:
+    """Bytes, at most ``length``, that the suffixes at ``a`` and ``b`` share; ``depth`` are known to."""
+    out = np.full(len(a), length)
+    open_ = np.arange(len(a))
+    for d in range(depth, length, 8):
+        x = words[a[open_] + d] ^ words[b[open_] + d]
+        differs = x != 0
+        if differs.any():
+            # Smear the highest set bit down; the bits above it are the equal ones.
+            y = x[differs]
+            for s in (1, 2, 4, 8, 16, 32):
+                y |= y >> np.uint64(s)
+            out[open_[differs]] = np.minimum(d + (64 - np.bitwise_count(y).astype(np.int64)) // 8, length)
+            open_ = open_[~differs]
+    return out
+
+
+class Tries:
+    """Blind tries of many groups: nodes with the byte's place that they branch at, and a leaf below."""
+
+    def __init__(self, leaves: np.ndarray, length: int):
+        n = len(leaves)  # one leaf to begin with in each
+        self.depth, self.leaf = np.full(n, length), leaves
+        self.root = np.arange(n)
+        self.parent, self.byte = np.full(n, -1), np.zeros(n, np.int64)
+        self.keys, self.child = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def step(self, node: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        """Child of each node by a byte; -1 if it has none."""
+        key = node * 256 + byte
+        if not len(self.keys):
+            return np.full(len(node), -1)
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.child[at], -1)
+
+    def grow(self, depth: np.ndarray, leaf: np.ndarray, parent: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        made = np.arange(len(self.depth), len(self.depth) + len(depth))
+        self.depth, self.leaf = np.concatenate((self.depth, depth)), np.concatenate((self.leaf, leaf))
+        self.parent, self.byte = np.concatenate((self.parent, parent)), np.concatenate((self.byte, byte))
+        return made
+
+    def link(self) -> None:
+        """The table of children, from parents and bytes."""
+        inner = np.flatnonzero(self.parent >= 0)
+        keys = self.parent[inner] * 256 + self.byte[inner]
+        by = np.argsort(keys)
+        self.keys, self.child = keys[by], inner[by]
+
+
+def blind_tries(
+    buf: np.ndarray, words: np.ndarray, starts: np.ndarray, order: np.ndarray, first: np.ndarray,
+    where: np.ndarray, group: np.ndarray, length: int,
+) -> None:
+    """Order the members of each group at the places ``where``; members wait in turns for an edge."""
+    heads = _runs(group)
+    group = np.cumsum(heads) - 1
+    own = order[where]
+    at = starts[own]
+    trie = Tries(np.flatnonzero(heads), length)
+    node = np.full(len(own), -1)  # the leaf node of each member
+    node[heads] = trie.root
+    left = np.flatnonzero(~heads)
+    while len(left):
+        # Down by branching bytes, to any leaf where there is no such child.
+        now, walking = trie.root[group[left]], np.arange(len(left))
+        while len(walking):
+            walking = walking[trie.depth[now[walking]] < length]
+            to = trie.step(now[walking], buf[at[left[walking]] + trie.depth[now[walking]]].astype(np.int64))
+            now[walking[to >= 0]] = to[to >= 0]
+            walking = walking[to >= 0]
+        reached = trie.leaf[now]
+        common = common_prefix(words, at[left], at[reached], 0, length)
+        same = common == length
+        node[left[same]] = node[reached[same]]
+        left, reached, common = left[~same], reached[~same], common[~same]
+        if not len(left):
+            break
+        # Down again to the edge that the first difference lies on.
+        now, walking = trie.root[group[left]], np.arange(len(left))
+        while len(walking):
+            walking = walking[trie.depth[now[walking]] < common[walking]]
+            now[walking] = trie.step(now[walking], buf[at[left[walking]] + trie.depth[now[walking]]].astype(np.int64))
+        byte = buf[at[left] + common].astype(np.int64)
+        branch = trie.depth[now] == common
+        # One member for each edge, and for each new byte of a node that branches there.
+        _, chosen = np.unique(now * 257 + np.where(branch, byte, 256), return_index=True)
+        now, common, byte, branch, new = now[chosen], common[chosen], byte[chosen], branch[chosen], left[chosen]
+        above = now.copy()
+        cut = np.flatnonzero(~branch)
+        if len(cut):
+            old = now[cut]
+            made = trie.grow(common[cut], trie.leaf[old], trie.parent[old], trie.byte[old])
+            trie.root[group[new[cut]][trie.parent[old] < 0]] = made[trie.parent[old] < 0]
+            trie.parent[old], trie.byte[old] = made, buf[at[trie.leaf[old]] + common[cut]]
+            above[cut] = made
+        node[new] = trie.grow(np.full(len(new), length), new, above, byte)
+        trie.link()
+        rest = np.ones(len(left), bool)
+        rest[chosen] = False
+        left = left[rest]
+    # Read out: members below each node, from the deepest up, then places from the roots down.
+    count = np.bincount(node, minlength=len(trie.depth))
+    levels = [np.flatnonzero(trie.depth == d) for d in range(length + 1)]
+    for nodes in reversed(levels):
+        nodes = nodes[trie.parent[nodes] >= 0]
+        np.add.at(count, trie.parent[nodes], count[nodes])
+    place = np.zeros(len(trie.depth), np.int64)
+    place[trie.root] = np.flatnonzero(heads)
+    if len(trie.keys):
+        held = count[trie.child]
+        before = np.cumsum(held) - held
+        sibling = _runs(trie.keys // 256)
+        offset = np.zeros(len(trie.depth), np.int64)
+        offset[trie.child] = before - before[sibling][np.cumsum(sibling) - 1]
+        for nodes in levels:
+            nodes = nodes[trie.parent[nodes] >= 0]
+            place[nodes] = place[trie.parent[nodes]] + offset[nodes]
+    by = np.argsort(place[node], kind="stable")
+    order[where] = own[by]
+    first[where] |= _runs(node[by])
 
 
 # --- packing of blobs -----------------------------------------------------------------------
@@ -362,51 +483,51 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         for t, (which,) in _split(target, n, np.arange(len(distinct))):
             own = [distinct[i] for i in which.tolist()]
             sizes = np.fromiter(map(len, own), np.uint16, len(own))
-            made.append((t, home, _pack(which.astype(np.uint32), least[which], sizes) + b"".join(own)))
+            made.append((t, home, _pack(which.astype(np.uint32), least[which], sizes, owner[which].astype(np.uint32)) + b"".join(own)))
         return pa.Table.from_batches([_batch(["target", "home", "blob"], [pa.int32(), pa.int32(), pa.binary()], made)])
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, kinds = ["home", "kind", "blob"], [pa.int32(), pa.int32(), pa.binary()]
         for _, (homes, blobs) in _by_key(batches, 2):
-            parts = [_unpack(b, "u4", "i8", "u2") for b in blobs]
-            sizes = np.concatenate([p[0][2] for p in parts]).astype(np.int64)
-            least = np.concatenate([p[0][1] for p in parts])
-            buf = np.frombuffer(b"".join(p[1] for p in parts), np.uint8)
-            counts = sizes - length + 1
-            seg = np.repeat(np.arange(len(sizes)), counts)
-            within = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
-            starts = (np.cumsum(sizes) - sizes)[seg] + within
-            order, first = deep_shallow(buf, starts, length)
-            cut = np.flatnonzero(first)
-            lowest = np.minimum.reduceat(least[seg[order]], cut)
-            best = np.empty(len(starts), np.int64)
-            best[order] = np.repeat(lowest, np.diff(np.append(cut, len(order))))
-            # Runs of equal minima within a segment.
-            at = np.flatnonzero(_runs(seg, best))
-            run_seg, run_best, run_len = seg[at], best[at], np.diff(np.append(at, len(best)))
-            which = np.concatenate([p[0][0] for p in parts])
-            bounds = np.cumsum([0] + [len(p[0][0]) for p in parts])
+            # Segments of all groups, equal ones once.
+            seen: dict[bytes, int] = {}
+            parts, low = [], []
+            while blobs:
+                (which, least, sizes, anchor), raw = _unpack(blobs.pop(0), "u4", "i8", "u2", "u4")
+                ends = np.cumsum(sizes.astype(np.int64)).tolist()
+                new = len(seen)
+                own = np.array([seen.setdefault(raw[e - s : e], len(seen)) for s, e in zip(sizes.tolist(), ends)], np.int64)
+                parts.append((which, least, own))
+                _, at = np.unique(own, return_index=True)
+                low.append(anchor[at[own[at] >= new]])
+            least = np.full(len(seen), np.iinfo(np.int64).max)
+            for _, ids, own in parts:
+                np.minimum.at(least, own, ids)
+            runs = _smaller_runs(list(seen), np.concatenate(low), least, length)
+            del seen
             made = []
-            for i, home in enumerate(homes):
-                a, b = np.searchsorted(run_seg, [bounds[i], bounds[i + 1]])
-                made.append((home, ANSWER, _pack(which[run_seg[a:b]], within[at[a:b]].astype(np.uint16), run_len[a:b].astype(np.uint16), run_best[a:b])))
+            for home, (which, ids, own) in zip(homes, parts):
+                seg, place, count, best = _expand(runs, own)
+                gone = best < ids[seg]
+                made.append((home, ANSWER, _pack(which[seg[gone]], place[gone].astype(np.uint16), count[gone].astype(np.uint16))))
             yield _batch(names, kinds, made)
 
     def mark(key, left: pa.Table, right: pa.Table) -> pa.Table:
         own, ids, texts, shared = _read_group(left, right)
-        (doc, start, _, which), _ = _group_segments(ids, texts, shared, length, n)
-        parts = [_unpack(b, "u4", "u2", "u2", "i8")[0] for k, b in zip(right.column("kind").to_pylist(), right.column("blob").to_pylist()) if k == ANSWER]
-        seg, place, count, best = (np.concatenate([p[i] for p in parts]).astype(np.int64) if parts else np.zeros(0, np.int64) for i in range(4))
+        (doc, start, windows, which), (_, least, _) = _group_segments(ids, texts, shared, length, n)
+        parts = [_unpack(b, "u4", "u2", "u2")[0] for k, b in zip(right.column("kind").to_pylist(), right.column("blob").to_pylist()) if k == ANSWER]
+        seg, place, count = (np.concatenate([p[i] for p in parts]).astype(np.int64) if parts else np.zeros(0, np.int64) for i in range(3))
+        # A smaller identifier of the group itself holds the whole segment; others as the owner says.
+        inside = ids[doc] > least[which]
         by = np.argsort(seg, kind="stable")
-        seg, place, count, best = seg[by], place[by], count[by], best[by]
+        seg, place, count = seg[by], place[by], count[by]
         lo, hi = np.searchsorted(seg, which), np.searchsorted(seg, which, "right")
-        n_runs = hi - lo
+        n_runs = np.where(inside, 0, hi - lo)
         member = np.repeat(np.arange(len(doc)), n_runs)
         run = np.arange(len(member)) - np.repeat(np.cumsum(n_runs) - n_runs, n_runs) + lo[member]
-        gone = best[run] < ids[doc[member]]
-        member, run = member[gone], run[gone]
-        d, a = doc[member], start[member] + place[run]
-        b = a + count[run] - 1 + length
+        d = np.concatenate((doc[member], doc[inside]))
+        a = np.concatenate((start[member] + place[run], start[inside]))
+        b = a + np.concatenate((count[run], windows[inside])) - 1 + length
         order = np.lexsort((a, d))
         d, a, b = d[order], a[order], b[order]
         cuts = np.searchsorted(d, np.arange(len(ids) + 1))
@@ -428,20 +549,64 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         return pa.table({"id": pa.array(own, pa.int64()), "n_bytes": pa.array(sizes, pa.int64()), "spans": pa.array(spans, span), "kept": pa.array(kept, pa.binary())})
 
+    known = rows.where("id is not null")
     shared = (
-        rows.where(F.col("id").isNotNull() & (F.octet_length("text") >= length)).mapInArrow(send, "target int, blob binary")
+        known.where(F.octet_length("text") >= length).mapInArrow(send, "target int, blob binary")
         .repartition(n, "target").sortWithinPartitions("target").mapInArrow(meet, "home int, kind int, blob binary")
     )
     shared = materialize(shared, "shared")  # read by both visits
-    placed = rows.withColumn("home", F.coalesce(F.pmod(F.xxhash64("id"), F.lit(n)), F.lit(0)).cast("int"))
+    placed = known.withColumn("home", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int"))
     answers = (
         placed.groupBy("home").cogroup(shared.groupBy("home")).applyInArrow(pick, "target int, home int, blob binary")
         .repartition(n, "target").sortWithinPartitions("target", "home").mapInArrow(solve, "home int, kind int, blob binary")
     )
     back = shared.unionByName(answers)
-    return placed.groupBy("home").cogroup(back.groupBy("home")).applyInArrow(
-        mark, "id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary"
-    )
+    span = "array<struct<start:long,end:long>>"
+    done = placed.groupBy("home").cogroup(back.groupBy("home")).applyInArrow(mark, f"id long, n_bytes long, spans {span}, kept binary")
+    nameless = rows.where("id is null").select("id", F.octet_length("text").cast("long").alias("n_bytes"), F.array().cast(span).alias("spans"), F.col("text").alias("kept"))
+    return done.unionByName(nameless)
+
+
+def _smaller_runs(texts: list[bytes], anchor: np.ndarray, least: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """``(segment, first window, windows, smallest identifier)``: runs of equal minima in all segments.
+
+    Segments are sorted in blocks of whole anchors, so what is held at once does not grow with an owner.
+    """
+    by = np.argsort(anchor, kind="stable")
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))[by]
+    ends = np.cumsum(sizes - length + 1)
+    cuts, heads = [0], np.flatnonzero(_runs(anchor[by]))
+    for h in heads[1:].tolist():
+        if ends[h - 1] - (ends[cuts[-1] - 1] if cuts[-1] else 0) >= SORTED:
+            cuts.append(h)
+    out = [[np.zeros(0, np.int64)] for _ in range(4)]
+    for a, b in zip(cuts, cuts[1:] + [len(by)]):
+        own, size = by[a:b], sizes[a:b]
+        buf = np.frombuffer(b"".join([texts[i] for i in own.tolist()]), np.uint8)
+        counts = size - length + 1
+        seg = np.repeat(np.arange(len(own)), counts)
+        within = np.arange(len(seg)) - np.repeat(np.cumsum(counts) - counts, counts)
+        starts = (np.cumsum(size) - size)[seg] + within
+        order, first = deep_shallow(buf, starts, length, apart=anchor[own][seg])
+        cut = np.flatnonzero(first)
+        best = np.empty(len(starts), np.int64)
+        best[order] = np.repeat(np.minimum.reduceat(least[own][seg[order]], cut), np.diff(np.append(cut, len(order)))) if len(cut) else 0
+        at = np.flatnonzero(_runs(seg, best))
+        runs = (own[seg[at]], within[at], np.diff(np.append(at, len(best))), best[at])
+        for store, value in zip(out, runs):
+            store.append(value)
+    return tuple(np.concatenate(x) for x in out)
+
+
+def _expand(runs: tuple[np.ndarray, ...], own: np.ndarray) -> tuple[np.ndarray, ...]:
+    """``runs`` of the segments ``own``, numbered by their place there."""
+    by = np.argsort(runs[0], kind="stable")
+    seg, place, count, best = (x[by] for x in runs)
+    lo, hi = np.searchsorted(seg, own), np.searchsorted(seg, own, "right")
+    n = hi - lo
+    member = np.repeat(np.arange(len(own)), n)
+    run = np.arange(len(member)) - np.repeat(np.cumsum(n) - n, n) + lo[member]
+    return member, place[run], count[run], best[run]
 
 
 def substring_report(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
