@@ -10,18 +10,21 @@ a lookup is two array reads. Ids are ranks, so a merged pair is its rank.
 Only distinct words are folded: those that occur at least twice in a bounded sample of
 documents once per run (they are kept in a dictionary whose size the sample bounds), all
 others once per document that holds them. Which words the dictionary holds changes the
-time, never the result. Pieces of more than ``LONG_PIECE`` bytes are merged with a heap
-instead of a fold. Texts are read where they lie; only sample words are shuffled.
+time, never the result. In pieces of more than ``LONG_PIECE`` bytes a step of the fold merges
+all places of the lowest pair at once, from the left, wherever that comes to the same as one
+after the other, and the fold ends early; so a step costs as much as the piece is long, but
+there are as many steps as different merges, not as places. Texts are read where they lie;
+only sample words are shuffled.
 
 Decoding concatenates the pieces of bytes that ids stand for. Edge cases: null and empty
-texts have no ids; special tokens are ordinary text; rows are never joined by identifier,
-so repeated and null identifiers need no care.
+texts have no ids; special tokens are ordinary text; very long texts are coded whole, a few
+megabytes at a time; rows are never joined by identifier, so repeated and null identifiers
+need no care; an empty table has no rows; further columns are never read.
 """
 
 from __future__ import annotations
 
 import base64
-import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,9 +38,11 @@ from callsift.llm._arrow import map_texts
 from callsift.shipping import ship
 
 #: Documents whose words fill the dictionary.
-SAMPLE_DOCS = 20_000
-#: Bytes beyond which a piece is merged with a heap.
+SAMPLE_DOCS = 12_000
+#: Bytes beyond which a step merges all places of a pair.
 LONG_PIECE = 64
+#: A pair's rank and place are one number: the rank in the bits from here on.
+PLACE_BITS = 30
 #: Slots of the rank table; row ``a`` takes those from ``shift[a]`` on.
 SLOTS = 1 << 20
 HOLE = 0xFFFF
@@ -48,6 +53,8 @@ def read_ranks(path: str) -> dict[bytes, int]:
         ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
     if max(ranks.values()) >= HOLE or any(bytes([b]) not in ranks for b in range(256)):
         raise ValueError("ranks must fit 16 bits and cover all bytes")
+    if max(ranks[bytes([b])] for b in range(256)) >= 1 << 15:
+        raise ValueError("bytes must have the lowest ranks")
     return ranks
 
 
@@ -86,61 +93,82 @@ def literal(spark: SparkSession, values: np.ndarray) -> Column:
     return ClassicColumn(jvm.org.apache.spark.sql.classic.ExpressionUtils.column(expression))
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def folded(ids: Column, shift: Column, table: Column) -> Column:
     """The ids of one piece, given the ids of its bytes (``array<bigint>``)."""
+    none = F.lit(1 << (PLACE_BITS + 16))
 
-    def step(word: Column, _: Column) -> Column:
-        # rank << 20 | place for pairs with a rank, larger for all others
-        scored = F.transform(
-            F.slice(word, F.lit(1), F.size(word) - 1),
-            lambda a, i: F.shiftleft(
-                F.get(table, (F.get(shift, a.cast("int")) + F.get(word, i + 1)).cast("int")).bitwiseXOR(F.shiftleft(a, 16)), 20
-            )
-            + i,
-        )
+    def rank(a: Column, b: Column) -> Column:
+        """The pair's rank; larger than every rank if it has none."""
+        return F.get(table, (F.get(shift, a.cast("int")) + b).cast("int")).bitwiseXOR(F.shiftleft(a, 16))
+
+    def lowest(word: Column) -> Column:
+        """Rank and place of the lowest pair, leftmost first."""
+        pairs = F.slice(word, F.lit(1), F.size(word) - 1)
+        return F.array_min(F.transform(pairs, lambda a, i: F.shiftleft(rank(a, F.get(word, i + 1)), PLACE_BITS) + i))
+
+    def merged(word: Column, least: Column) -> Column:
+        """``word`` with the one pair merged."""
+        at = place(least)
+        return F.concat(F.slice(word, F.lit(1), at), F.array(F.shiftright(least, PLACE_BITS)), F.slice(word, at + 3, F.size(word)))
+
+    def place(least: Column) -> Column:
+        return least.bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int")
+
+    def one(word: Column, _: Column) -> Column:
+        return let(lowest(word), lambda least: F.when(least.isNull() | (least >= none), word).otherwise(merged(word, least)))
+
+    def all_places(word: Column, a: Column, b: Column, made: Column) -> Column:
+        """``word`` with every pair (a, b) merged, from the left."""
+
+        def twins(own: Column) -> Column:
+            # Pairs (a, a): place less number is the same for all of a run; every second one of it goes.
+            run = F.transform(own, lambda p, j: p - j)
 
-        def merge(least: Column) -> Column:
-            at = least.bitwiseAND(F.lit((1 << 20) - 1)).cast("int")
-            return F.when(least.isNull() | (least >= F.lit(1 << 36)), word).otherwise(
-                F.concat(F.slice(word, F.lit(1), at), F.array(F.shiftright(least, 20)), F.slice(word, at + 3, F.size(word)))
+            def value(p: Column, j: Column) -> Column:
+                odd = (j - F.array_position(run, p - j) + 1) % 2 == 1
+                return F.struct(p.alias("p"), F.when(odd, F.lit(-1).cast("long")).when(F.get(run, j + 1) == p - j, made).otherwise(a).alias("x"))
+
+            other = F.filter(F.transform(word, lambda x, i: F.struct(i.cast("long").alias("p"), x.alias("x"))), lambda e: e["x"] != a)
+            return F.transform(F.array_sort(F.concat(other, F.transform(own, value))), lambda e: e["x"])
+
+        def single(x: Column, i: Column) -> Column:
+            left = (x == a) & F.coalesce(F.get(word, i + 1) == b, F.lit(False))
+            right = (x == b) & F.coalesce(F.get(word, i - 1) == a, F.lit(False))
+            return F.when(left, made).when(right, F.lit(-1).cast("long")).otherwise(x)
+
+        places = F.filter(F.transform(word, lambda x, i: F.when(x == a, i.cast("long")).otherwise(F.lit(-1).cast("long"))), lambda p: p >= 0)
+        return F.filter(F.when(a == b, let(places, twins)).otherwise(F.transform(word, single)), lambda x: x >= 0)
+
+    def many(state: Column, _: Column) -> Column:
+        def step(word: Column, least: Column) -> Column:
+            r, at = F.shiftright(least, PLACE_BITS), place(least)
+
+            def choose(a: Column, b: Column) -> Column:
+                # One after the other comes to the same unless a merge makes a lower pair on the way.
+                return let(
+                    all_places(word, a, b, r),
+                    lambda whole: F.when((F.shiftright(F.coalesce(lowest(whole), none), PLACE_BITS) < r) | (rank(r, a) < r), merged(word, least)).otherwise(whole),
+                )
+
+            return choose(F.get(word, at), F.get(word, at + 1))
+
+        def go(least: Column) -> Column:
+            over = least.isNull() | (least >= none)
+            return F.struct(
+                F.when(over, state["w"]).otherwise(step(state["w"], least)).alias("w"),
+                over.alias("over"),
             )
 
-        return F.get(F.transform(F.array(F.array_min(scored)), merge), F.lit(0))
-
-    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(ids) - 1, F.lit(1))), ids, step)
-
-
-def heap_merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The same merges for one long piece, in time near-linear in its length."""
-    n = len(piece)
-    end = list(range(1, n + 1))  # end of the token that starts here
-    prev = list(range(-1, n - 1))
-    alive = bytearray(b"\1") * n
-    heap: list[tuple[int, int, int, int]] = []
-
-    def push(i: int) -> None:
-        j = end[i]
-        if j < n and (r := ranks.get(piece[i : end[j]])) is not None:
-            heapq.heappush(heap, (r, i, j, end[j]))
-
-    for i in range(n):
-        push(i)
-    while heap:
-        _, i, j, stop = heapq.heappop(heap)
-        if not alive[i] or end[i] != j or not alive[j] or end[j] != stop:
-            continue
-        alive[j] = 0
-        end[i] = stop
-        if stop < n:
-            prev[stop] = i
-        push(i)
-        if prev[i] >= 0:
-            push(prev[i])
-    out, i = [], 0
-    while i < n:
-        out.append(ranks[piece[i : end[i]]])
-        i = end[i]
-    return out
+        return F.when(state["over"], state).otherwise(let(lowest(state["w"]), go))
+
+    steps = F.sequence(F.lit(1), F.greatest(F.size(ids) - 1, F.lit(1)))
+    start = F.struct(ids.alias("w"), F.lit(False).alias("over"))
+    return F.when(F.size(ids) <= LONG_PIECE, F.aggregate(steps, ids, one)).otherwise(F.aggregate(steps, start, many, lambda s: s["w"]))
 
 
 def dictionary(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str, id_col: str, maps: tuple[Column, Column], sample_docs: int) -> dict[str, bytes]:
@@ -195,15 +223,15 @@ def encode(
     shift, table = rank_table(ranks)
     maps = literal(spark, shift), literal(spark, table)
     known = dictionary(docs, ranks, pattern, text_col, id_col, maps, sample_docs)
-    sent = spark.sparkContext.broadcast((ranks, known))
+    sent = spark.sparkContext.broadcast(([ranks[bytes([b])] for b in range(256)], known))
+    pieces_of = spark.sparkContext.broadcast(decoding_table(ranks))  # apart, so that the second step holds no dictionary
     hole = np.array([HOLE], "<u2").tobytes()
 
     def make():
         import regex
 
         split = regex.compile(pattern).findall
-        ranks, known = sent.value
-        start = [ranks[bytes([b])] for b in range(256)]
+        start, known = sent.value
         get = known.get
 
         def run(texts: list[str]) -> dict[str, list]:
@@ -216,12 +244,8 @@ def encode(
                 if None in got:
                     for i, v in enumerate(got):
                         if v is None:
-                            raw = pieces[i].encode("utf-8", "replace")
-                            if len(raw) > LONG_PIECE:
-                                got[i] = np.array(heap_merge(raw, ranks), "<u2").tobytes()
-                            else:
-                                got[i] = hole
-                                refs.append(new.setdefault(raw, len(new)))
+                            got[i] = hole
+                            refs.append(new.setdefault(pieces[i].encode("utf-8", "replace"), len(new)))
                 flat.append(b"".join(got))
                 rare.append([[start[b] for b in raw] for raw in new])
                 order.append(np.array(refs, "<u4").tobytes())
@@ -232,19 +256,19 @@ def encode(
     fields = T.StructType(
         [
             T.StructField("flat", T.BinaryType()),
-            T.StructField("rare", T.ArrayType(T.ArrayType(T.LongType()))),
+            T.StructField("rare", T.ArrayType(T.ArrayType(T.ShortType()))),  # bytes have the lowest ids
             T.StructField("refs", T.BinaryType()),
         ]
     )
     coded = map_texts(docs, make, fields, id_col, text_col)
-    coded = coded.select(id_col, "flat", "refs", F.transform("rare", lambda w: folded(w, *maps)).alias("rare"))
+    coded = coded.select(id_col, "flat", "refs", F.transform("rare", lambda w: folded(w.cast("array<bigint>"), *maps)).alias("rare"))
 
     out = [docs.schema[id_col], T.StructField("ids", T.BinaryType())] + [T.StructField("decoded", T.BinaryType())] * with_decoded
     schema = T.StructType(out)
     arrow = to_arrow_schema(schema)
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = decoding_table(sent.value[0])
+        pieces = pieces_of.value
         for batch in batches:
             made, back = [], []
             for flat, refs, rare in zip(batch.column(1), batch.column(2), batch.column(3)):

@@ -4,8 +4,6 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
-from hypothesis import given, settings
-from hypothesis import strategies as st
 
 from callsift.llm import byte_bpe
 
@@ -14,10 +12,18 @@ RANKS = byte_bpe.read_ranks(PATH)
 LIBRARY = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=RANKS, special_tokens={})
 
 
-@given(st.binary(min_size=1, max_size=40) | st.text("aAbe ti1\n", min_size=1, max_size=60).map(str.encode))
-@settings(max_examples=200, deadline=None)
-def test_heap_merge(piece):
-    assert byte_bpe.heap_merge(piece, RANKS) == LIBRARY._encode_single_piece(piece)
+def test_long_pieces_are_folded(spark):
+    """Pieces beyond LONG_PIECE, where a step merges all places of a pair, against one at a time."""
+    import random
+
+    rng = random.Random(5)
+    pieces = [b"a" * 65, b"=" * 400, b"ab" * 90, b"aab" * 80, b" " * 200, "日本語のテキスト".encode() * 12, b"the" * 60 + b"a" * 31, bytes(range(256))]
+    pieces += ["".join(rng.choices(c, k=rng.randint(65, 180))).encode() for c in ("ab", "aA1", "the ", "etaoinshrdlu", "=-", "éü日ab") for _ in range(12)]
+    pieces += [rng.randbytes(120) for _ in range(10)]
+    maps = [byte_bpe.literal(spark, x) for x in byte_bpe.rank_table(RANKS)]
+    rows = spark.createDataFrame([(i, [RANKS[bytes([b])] for b in p]) for i, p in enumerate(pieces)], "i int, ids array<bigint>")
+    for r in rows.select("i", byte_bpe.folded(rows["ids"], *maps).alias("out")).collect():
+        assert r.out == LIBRARY._encode_single_piece(pieces[r.i]), pieces[r.i]
 
 
 @pytest.mark.parametrize("sample", [3, 20_000])
