@@ -17,17 +17,25 @@ INSTRUCTIONS = (
 )
 
 
-def classify(utterances: DataFrame, provider: LanguageModel, settings: Settings) -> DataFrame:
-    """One classification per transcript; ``low_confidence`` is strictly below the threshold."""
+def ask(utterances: DataFrame, provider: LanguageModel, settings: Settings) -> DataFrame:
+    """The model's answer for the opening of every transcript, with the tokens it took."""
     opening = dialogues(utterances, first=settings.classify_utterance_window)
-    answers = map_calls(
+    return map_calls(
         opening.select("transcript_id", F.lit(INSTRUCTIONS).alias("instructions"), F.col("dialogue").alias("prompt")),
         "transcript_id", "classify", "source_set string, confidence double, rationale string", provider, settings,
     )
+
+
+def classified(answers: DataFrame, settings: Settings) -> DataFrame:
+    """One classification per transcript; ``low_confidence`` is strictly below the threshold."""
     low = F.col("confidence") < F.lit(settings.classify_confidence_threshold)
     return conform(answers.select("transcript_id", "source_set", "confidence", "rationale", low.alias("low_confidence")), "classifications")
 
 
+def classify(utterances: DataFrame, provider: LanguageModel, settings: Settings) -> DataFrame:
+    return classified(ask(utterances, provider, settings), settings)
+
+
 def classification_counts(classifications: DataFrame) -> DataFrame:
     """``source_set, calls`` with a row for every kind of call."""
     kinds = classifications.sparkSession.createDataFrame([(s,) for s in SOURCE_SETS], "source_set string")

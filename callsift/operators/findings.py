@@ -23,21 +23,29 @@ def instructions(source_set: Column) -> Column:
     return F.when(source_set == "internal-discuss", _ask_for(INTERNAL_FINDINGS)).otherwise(_ask_for(CUSTOMER_FINDINGS))
 
 
-def extract_findings(segments: DataFrame, provider: LanguageModel, settings: Settings) -> DataFrame:
-    """The first ``findings_per_segment_maximum`` findings of each segment, in the order given."""
+def ask(segments: DataFrame, provider: LanguageModel, settings: Settings) -> DataFrame:
+    """The model's answer for every segment, with the tokens it took."""
     asked = segments.select("segment_id", instructions(F.col("source_set")).alias("instructions"), F.col("text").alias("prompt"))
-    answers = map_calls(asked, "segment_id", "findings", ANSWER, provider, settings)
+    return map_calls(asked, "segment_id", "findings", ANSWER, provider, settings)
+
+
+def found(segments: DataFrame, answers: DataFrame, model: str, settings: Settings) -> DataFrame:
+    """The first ``findings_per_segment_maximum`` findings of each segment, in the order given."""
     first = F.slice(F.col("findings"), 1, settings.findings_per_segment_maximum)
     rows = answers.select("segment_id", F.posexplode(first).alias("n", "f")).join(segments.select("segment_id", "transcript_id", "source_set"), "segment_id")
     out = rows.select(
         F.concat_ws(":", "segment_id", F.lit("finding"), F.col("n").cast("string")).alias("finding_id"),
         F.concat(F.lit("findings:"), "segment_id").alias("request_id"),
         "transcript_id", "segment_id", "source_set", "f.finding_type", "f.target", "f.value", "f.reason",
-        F.lit(provider.name).alias("model"), F.lit(settings.findings_prompt_version).alias("prompt_version"),
+        F.lit(model).alias("model"), F.lit(settings.findings_prompt_version).alias("prompt_version"),
     )
     return conform(out, "findings")
 
 
+def extract_findings(segments: DataFrame, provider: LanguageModel, settings: Settings) -> DataFrame:
+    return found(segments, ask(segments, provider, settings), provider.name, settings)
+
+
 def is_proposal(source_set: Column, finding_type: Column) -> Column:
     """A type outside the vocabulary of the row's own kind of call."""
     return F.when(source_set == "internal-discuss", ~finding_type.isin(*INTERNAL_FINDINGS)).otherwise(~finding_type.isin(*CUSTOMER_FINDINGS))

@@ -15,9 +15,10 @@ from callsift.schemas import conform
 
 
 def majority_polarity(value: Column) -> Column:
-    """``positive`` or ``negative`` by majority, ``neutral`` on a tie of the two."""
-    up, down = F.count_if(value == "positive"), F.count_if(value == "negative")
-    return F.when(up > down, "positive").when(down > up, "negative").otherwise("neutral")
+    """``positive`` if more than half are, ``negative`` if fewer: all that is not positive, null too,
+    speaks against; ``neutral`` if it is just half."""
+    balance = 2 * F.count_if(value == "positive") - F.count("*")
+    return F.when(balance > 0, "positive").when(balance < 0, "negative").otherwise("neutral")
 
 
 def _months(transcripts: DataFrame) -> DataFrame:

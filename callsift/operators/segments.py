@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from callsift.functions.scalar import word_count
 from callsift.operators.vectors import embedding_column, neighbour_similarity
@@ -29,29 +32,49 @@ def cuts(tokens: list[int], shifts: list[bool], cap: int) -> list[int]:
     return ordinals
 
 
-def segment_ordinals(turns: DataFrame, cap: int) -> DataFrame:
-    """``turns`` with ``segment``; reads ``transcript_id, order, tokens, shift``. State resets at each cut,
-    which no window frame can say, so each transcript is folded once, in linear time."""
+def cuts_by_text(lines: list[str], shifts: list[bool], cap: int, count: Callable[[str], int]) -> list[int]:
+    """The same fold where ``count`` measures a segment's whole text, as a tokenizer does."""
+    ordinals, held = [], []
+    for line, shift in zip(lines, shifts):
+        cut = bool(held) and (shift or count("\n".join([*held, line])) > cap)
+        held = [line] if cut else [*held, line]
+        ordinals.append(ordinals[-1] + cut if ordinals else 0)
+    return ordinals
+
+
+def _folded(turns: DataFrame, fold: Callable[[pa.Table], list[int]]) -> DataFrame:
+    """``turns`` with ``segment``. State resets at each cut, which no window frame can say, so each
+    transcript is folded once, whole."""
     ship(turns.sparkSession)
-    lean = turns.select("transcript_id", "order", "tokens", "shift")
+    schema = T.StructType([*turns.schema.fields, T.StructField("segment", T.LongType())])
 
-    def fold(table: pa.Table) -> pa.Table:
+    def run(table: pa.Table) -> pa.Table:
         ordered = table.sort_by("order")
-        found = cuts(ordered.column("tokens").to_pylist(), ordered.column("shift").to_pylist(), cap)
-        return pa.table({"transcript_id": ordered.column("transcript_id"), "order": ordered.column("order"), "segment": pa.array(found, pa.int64())})
+        return ordered.append_column("segment", pa.array(fold(ordered), pa.int64()))
 
-    kind = turns.schema["transcript_id"].dataType.simpleString()
-    return turns.join(lean.groupBy("transcript_id").applyInArrow(fold, f"transcript_id {kind}, order long, segment long"), ["transcript_id", "order"])
+    return turns.groupBy("transcript_id").applyInArrow(run, schema)
+
+
+def segment_ordinals(turns: DataFrame, cap: int) -> DataFrame:
+    """``turns`` with ``segment``, by the turns' own token counts; reads ``transcript_id, order, tokens, shift``."""
+    return _folded(turns, lambda t: cuts(t.column("tokens").to_pylist(), t.column("shift").to_pylist(), cap))
 
 
 def create_segments(turns: DataFrame, provider, settings: Settings) -> DataFrame:
-    """Segments with their turns, speakers in order of appearance, and text."""
+    """Segments with their turns, speakers in order of appearance, and text.
+
+    The cap holds for the provider's tokens of the segment's whole text; ``token_count`` is words.
+    """
     ship(turns.sparkSession)
     line = F.concat("speaker", F.lit(": "), "text")
-    rows = turns.withColumn("embedding", embedding_column(provider)("text")).withColumn("tokens", word_count(line))
-    rows = neighbour_similarity(rows, "transcript_id", "order", settings.semantic_similarity_threshold).drop("embedding", "similarity")
-    rows = segment_ordinals(rows, settings.maximum_segment_tokens)
-    item = F.struct(F.col("order").alias("o"), "turn_id", "speaker", "source_set", line.alias("line"))
+    cap, count = settings.maximum_segment_tokens, provider.tokens
+    rows = turns.withColumn("embedding", embedding_column(provider)("text")).withColumn("line", line)
+    rows = neighbour_similarity(rows, "transcript_id", "order", settings.semantic_similarity_threshold)
+    rows = _folded(
+        rows.select("transcript_id", "order", "turn_id", "speaker", "source_set", "line", "shift"),
+        lambda t: cuts_by_text([x or "" for x in t.column("line").to_pylist()], t.column("shift").to_pylist(), cap, count),
+    )
+    item = F.struct(F.col("order").alias("o"), "turn_id", "speaker", "source_set", "line")
     grouped = rows.groupBy("transcript_id", "segment").agg(F.array_sort(F.collect_list(item)).alias("t"))
     ids, text = F.transform("t", lambda x: x["turn_id"]), F.array_join(F.transform("t", lambda x: x["line"]), "\n")
     out = grouped.select(

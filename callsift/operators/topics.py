@@ -97,26 +97,39 @@ def centroid_segments(assignments: DataFrame, embeddings: DataFrame, segments: D
     return conform(near.select("topic_version", "topic_id", "cluster_id", F.col("rank").cast("int").alias("rank"), "segment_id"), "centroid_segments")
 
 
-def label_topics(metadata: DataFrame, terms: DataFrame, nearest: DataFrame, segments: DataFrame, provider: LanguageModel, settings: Settings) -> DataFrame:
-    """One label per topic that is not the outliers', from its size, terms and nearest segments."""
+def described(metadata: DataFrame, terms: DataFrame, nearest: DataFrame, segments: DataFrame) -> DataFrame:
+    """Every topic that is not the outliers', with its terms and the texts of its nearest segments."""
     ranked = lambda c: F.transform(F.array_sort(F.collect_list(F.struct("rank", c))), lambda x: x[c])
     words = terms.groupBy("topic_id").agg(ranked("term").alias("terms"))
     ids = nearest.groupBy("topic_id").agg(ranked("segment_id").alias("centroid_segment_ids"))
     texts = nearest.join(segments.select("segment_id", "text"), "segment_id").groupBy("topic_id").agg(F.array_join(ranked("text"), "\n\n").alias("examples"))
     none = F.array().cast("array<string>")
-    topics = metadata.where(~F.col("is_outlier")).join(words, "topic_id", "left").join(ids, "topic_id", "left").join(texts, "topic_id", "left").withColumns(
+    return metadata.where(~F.col("is_outlier")).join(words, "topic_id", "left").join(ids, "topic_id", "left").join(texts, "topic_id", "left").withColumns(
         {"terms": F.coalesce("terms", none), "centroid_segment_ids": F.coalesce("centroid_segment_ids", none), "examples": F.coalesce("examples", F.lit(""))}
     )
+
+
+def ask(topics: DataFrame, provider: LanguageModel, settings: Settings) -> DataFrame:
+    """The model's answer for every topic, from its size, terms and nearest segments, with the tokens it took."""
     quoted = F.array_join(F.transform("terms", lambda t: F.concat(F.lit("'"), t, F.lit("'"))), ", ")
     prompt = F.concat(F.lit("segments: "), F.col("cluster_size"), F.lit("\nterms: "), quoted, F.lit("\nexamples:\n"), "examples")
-    answers = map_calls(topics.select("topic_id", F.lit(LABEL_INSTRUCTIONS).alias("instructions"), prompt.alias("prompt")), "topic_id", "label", "label string, description string", provider, settings)
+    return map_calls(topics.select("topic_id", F.lit(LABEL_INSTRUCTIONS).alias("instructions"), prompt.alias("prompt")), "topic_id", "label", "label string, description string", provider, settings)
+
+
+def labelled(topics: DataFrame, answers: DataFrame, model: str, settings: Settings) -> DataFrame:
+    """One label per topic."""
     out = topics.join(answers.select("topic_id", "label", "description"), "topic_id").select(
         "topic_version", "topic_id", "cluster_id", "label", "description", "terms", "centroid_segment_ids", "cluster_size", "source_distribution",
-        F.lit(provider.name).alias("model"), F.lit(settings.topic_prompt_version).alias("prompt_version"),
+        F.lit(model).alias("model"), F.lit(settings.topic_prompt_version).alias("prompt_version"),
     )
     return conform(out, "topics")
 
 
+def label_topics(metadata: DataFrame, terms: DataFrame, nearest: DataFrame, segments: DataFrame, provider: LanguageModel, settings: Settings) -> DataFrame:
+    known = described(metadata, terms, nearest, segments)
+    return labelled(known, ask(known, provider, settings), provider.name, settings)
+
+
 def discovery(segments: DataFrame, metadata: DataFrame) -> dict[str, int]:
     """Totals of the clustering stage."""
     kinds = {r.source_set: r.n for r in segments.groupBy("source_set").agg(F.count("*").alias("n")).collect()}

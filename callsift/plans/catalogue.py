@@ -12,7 +12,7 @@ from pyspark.sql import window as W
 
 from callsift.functions import scalar
 from callsift.operators import charts, classify, findings, lineage, metrics, privacy, segments, spans, topics, turns, vectors
-from callsift.schemas import SOURCE_SETS
+from callsift.schemas import CUSTOMER_FINDINGS, INTERNAL_FINDINGS, SOURCE_SETS
 from callsift.settings import Settings
 
 
@@ -83,7 +83,7 @@ def _event_frames(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     user = F.col("user_id").cast("string")
     calls = events.groupBy("user_id").agg(F.min("ts").alias("transcript_datetime")).select(user.alias("transcript_id"), "transcript_datetime")
     segs = events.select(ids.alias("segment_id"), _kind("user_id").alias("source_set"), user.alias("transcript_id"))
-    found = events.where("event_id % 5 <> 0").select(
+    found = events.select(
         F.concat(ids, F.lit(":finding:0")).alias("finding_id"), ids.alias("segment_id"), user.alias("transcript_id"), _kind("user_id").alias("source_set"),
         F.when(F.col("event_type") == "click", "sentiment").otherwise(F.col("event_type")).alias("finding_type"),
         F.lit("product").alias("target"), F.when(F.col("value") > 50, "positive").when(F.col("value") < 20, "negative").otherwise("neutral").alias("value"),
@@ -104,20 +104,20 @@ _FOUND = f"""
     f AS (
         SELECT event_id, user_id, s, strftime(first, '%Y-%m') AS w, CASE WHEN event_type = 'click' THEN 'sentiment' ELSE event_type END AS k,
                CASE WHEN value > 50 THEN 'positive' WHEN value < 20 THEN 'negative' ELSE 'neutral' END AS v
-        FROM e WHERE event_id % 5 <> 0
+        FROM e
     )
 """
 _FINDINGS = f"""
     WITH {_FOUND}, d AS (SELECT s, strftime(first, '%Y-%m') AS w, count(*) AS den FROM e GROUP BY 1, 2),
     g AS (
         SELECT s, w, k = 'sentiment' AS tone, CASE WHEN k = 'sentiment' THEN v || ':product' ELSE k END AS c, count(*) AS n, count(DISTINCT user_id) AS u,
-               count(*) FILTER (WHERE v = 'positive') AS up, count(*) FILTER (WHERE v = 'negative') AS down
+               sum(CASE WHEN v = 'positive' THEN 1 ELSE -1 END) AS balance
         FROM f GROUP BY 1, 2, 3, 4
     )
     SELECT concat_ws('|', CASE WHEN tone THEN 'sentiment' ELSE 'finding' END, s, w, c) AS chart_point_id,
            CASE WHEN tone THEN 'sentiment_distribution' ELSE 'finding_prevalence' END AS metric_type, s AS source_set, w AS time_window, c AS category,
            n AS numerator, den AS denominator, round(n / den, 9) AS value, u AS distinct_transcripts,
-           CASE WHEN up > down THEN 'positive' WHEN down > up THEN 'negative' ELSE 'neutral' END AS polarity
+           CASE sign(balance) WHEN 1 THEN 'positive' WHEN -1 THEN 'negative' ELSE 'neutral' END AS polarity
     FROM g JOIN d USING (s, w)
 """
 
@@ -160,8 +160,7 @@ _PROPOSED = f"""
     ), p AS (
         SELECT finding_type AS t, count(*) AS n, count(DISTINCT segment_id) AS s FROM f
         WHERE CASE WHEN source_set = 'internal-discuss'
-            THEN finding_type NOT IN ('sentiment', 'operational_risk', 'delivery_risk', 'competitive_risk', 'renewal_risk', 'opportunity', 'commitment', 'capacity_constraint')
-            ELSE finding_type NOT IN ('sentiment', 'process_friction', 'resolution', 'objection', 'renewal_risk', 'feature_request', 'opportunity', 'commitment', 'competitive_risk') END
+            THEN finding_type NOT IN {INTERNAL_FINDINGS!r} ELSE finding_type NOT IN {CUSTOMER_FINDINGS!r} END
         GROUP BY 1
     )
 """

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callsift.schemas import DDL, SCHEMAS, checked, conform
+from callsift.sources import files
 
 
 def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -44,10 +45,9 @@ def export_json_lines(df: DataFrame, path: str) -> None:
 
 
 def read_json(path: str | Path) -> Any:
-    return json.loads(Path(path).read_text(encoding="utf-8"))
+    return json.loads(files.read_text(path))
 
 
 def write_json(path: str | Path, value: Any) -> None:
-    """A small JSON document on the driver."""
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    Path(path).write_text(json.dumps(value, indent=2, default=str), encoding="utf-8")
+    """A small JSON document, written by the driver."""
+    files.write_text(path, json.dumps(value, indent=2, default=str))

@@ -7,7 +7,7 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from callsift.plans.run import COMPLETE, FAILED, Providers, Run, run_pipeline
+from callsift.plans.run import COMPLETE, FAILED, Providers, Run, latest_run, run_pipeline
 from callsift.providers.offline import RuleModel
 from callsift.settings import Settings
 from callsift.sources import tables
@@ -96,10 +96,9 @@ def test_run_fails_resumes_and_repeats(spark, tmp_path):
 
 def test_runs_sort_by_number(tmp_path):
     for n in (9, 10):
-        run = Run(tmp_path / f"execution_{n}")
-        run.directory.mkdir()
-        run.complete()
-    assert Run.allocate(tmp_path).directory.name == "execution_11"
+        Run(tmp_path / f"execution_{n}").record(COMPLETE)
+    assert latest_run(tmp_path).directory.name == "execution_11"
+    assert latest_run(tmp_path).directory.name == "execution_11"  # it is not complete
 
 
 def test_json_lines(spark, tmp_path):
