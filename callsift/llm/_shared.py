@@ -7,13 +7,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Used only where the session names no checkpoint folder (tests, notebooks).
+#: Used only where the session names no checkpoint folder and all runs on one machine (tests, notebooks).
 LOCAL_FALLBACK = "/tmp/checkpoints/callsift"
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder, without a trailing slash."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return (base or LOCAL_FALLBACK).rstrip("/")
 
 

@@ -12,7 +12,9 @@ seeded hash, so a source with a third of all rows spreads over many tasks, and
 only per-partition counts are added up.
 
 Edge cases: a null source is a source of its own; null texts have no bytes; null
-identifiers sort first; ties of the hash fall back to identifier, checksum, size.
+identifiers sort first; ties of the hash fall back to identifier, checksum, size; repeated
+rows have a place each; the length of a text does not matter to its place; an empty table
+gives no rows; further columns are never read.
 """
 
 from __future__ import annotations

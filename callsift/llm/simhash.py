@@ -14,13 +14,15 @@ The fuzzy keys of every pair of segments therefore meet for every link.
 
 Keys travel as packed blobs, a few rows per task and target, and are joined by sorting.
 Every candidate is verified on the whole fingerprint. Equal fingerprints are one node
-from the start, and a key's links are reduced to a spanning forest before they leave
-the task, so a large group of copies emits as many links as it has different
+from the start, and all links of a target are reduced to a spanning forest before they
+leave the task, so a large group of copies emits fewer links than it has different
 fingerprints, not pairs. Components are settled on the cluster.
 
 Edge cases: null and empty texts, or texts of white space only, have fingerprint zero,
 which links like any other; texts of fewer words than a shingle are one shingle; rows
-with a null identifier take part but never name a component unless all are null.
+with a null identifier take part but never name a component unless all are null; repeated
+rows have a row each; very long texts are hashed whole, a block of shingles at a time; an
+empty table has no rows; further columns are never read, and the stage keeps them.
 """
 
 from __future__ import annotations
@@ -36,7 +38,7 @@ from pyspark.sql import types as T
 
 from callsift.llm._arrow import map_texts
 from callsift.llm._components import connected_components
-from callsift.llm._shared import materialize
+from callsift.llm._shared import discard, materialize
 from callsift.shipping import ship
 
 SEED = 42
@@ -48,8 +50,6 @@ GENERATOR = 0b101011100011
 BLOCK = 65_536
 #: Shingles that a task holds before it passes them on.
 HELD = 250_000
-#: Longest run of one key that is paired by offsets; longer runs are searched breadth first.
-SHORT_RUN = 32
 
 
 # --- fingerprints ---------------------------------------------------------------------------
@@ -150,44 +150,62 @@ def fuzzy_keys(fp: np.ndarray, segments: int, golay: Golay) -> tuple[np.ndarray,
 # --- links ----------------------------------------------------------------------------------
 
 
-def forest(fp: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """Links that span the same components as all links within the radius."""
-    left = np.sort(fp)
-    links, todo = [], []
-    while len(left) or todo:
-        if not todo:
-            todo, left = [left[0]], left[1:]
-        node = todo.pop()
-        near = np.bitwise_count(left ^ node) <= radius
-        if near.any():
-            found = left[near]
-            links += [(int(node), int(x)) for x in found]
-            todo += list(found)
-            left = left[~near]
-    return links
+def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """Indices of links that span the same components of ``n`` nodes as all links do."""
+    root = np.arange(n)
+    kept: list[np.ndarray] = []
+    rest = np.arange(len(a))
+    while len(rest):
+        x, y = root[a[rest]], root[b[rest]]
+        rest = rest[x != y]
+        if not len(rest):
+            break
+        x, y = np.minimum(root[a[rest]], root[b[rest]]), np.maximum(root[a[rest]], root[b[rest]])
+        # Each root joins one smaller root at most, so no two links of a round close a ring.
+        _, first = np.unique(y, return_index=True)
+        kept.append(rest[first])
+        root[y[first]] = x[first]
+        while (root[root] != root).any():
+            root = root[root]
+    return np.sort(np.concatenate(kept)) if kept else np.zeros(0, np.int64)
 
 
 def links_of(keys: np.ndarray, fp: np.ndarray, radius: int) -> np.ndarray:
-    """Verified links ``(n, 2)`` among fingerprints that share a key."""
-    order = np.lexsort((fp, keys))
-    keys, fp = keys[order], fp[order]
-    starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    sizes = np.diff(np.concatenate((starts, [len(keys)])))
-    size_of = np.repeat(sizes, sizes)
-    found = [np.zeros((0, 2), np.uint64)]
-    short = size_of <= SHORT_RUN
-    k, f = keys[short & (size_of > 1)], fp[short & (size_of > 1)]
-    for step in range(1, SHORT_RUN):
-        if len(k) <= step:
-            break
-        hit = (k[step:] == k[:-step]) & (np.bitwise_count(f[step:] ^ f[:-step]) <= radius)
-        found.append(np.column_stack((f[:-step][hit], f[step:][hit])))
-    for at in np.flatnonzero(sizes > SHORT_RUN):
-        run = fp[starts[at] : starts[at] + sizes[at]]
-        links = forest(run, radius)
-        if links:
-            found.append(np.array(links, np.uint64))
-    return np.unique(np.concatenate(found), axis=0)
+    """Links ``(n, 2)`` that span the components of fingerprints within ``radius`` that share a key.
+
+    A run of one key is searched breadth first, all runs at once: each round takes the first
+    fingerprint of what is left of every run, or one that a link has reached, and compares it
+    with the rest of the run; what it reaches needs no further link in that run.
+    """
+    known, node = np.unique(fp, return_inverse=True)
+    order = np.lexsort((node, keys))
+    keys, node = keys[order], node[order]
+    new = np.concatenate(([True], (keys[1:] != keys[:-1]) | (node[1:] != node[:-1])))
+    keys, node = keys[new], node[new]
+    run = np.cumsum(np.concatenate(([True], keys[1:] != keys[:-1]))) - 1
+    many = np.bincount(run)[run] > 1
+    run, node = run[many], node[many]
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    reached = np.zeros(len(run), bool)
+    while len(run):
+        # Members that links have reached go first, so that each component is finished before the next.
+        by = np.lexsort((~reached, run))
+        run, node, reached = run[by], node[by], reached[by]
+        heads = np.concatenate(([True], run[1:] != run[:-1]))
+        pivot = node[heads][np.cumsum(heads) - 1]
+        near = (np.bitwise_count(known[node] ^ known[pivot]) <= radius) & ~heads
+        hit = near & ~reached
+        a.append(pivot[hit])
+        b.append(node[hit])
+        reached |= near
+        run, node, reached = run[~heads], node[~heads], reached[~heads]
+        if len(run):
+            # A run with one member left, or whose members are all reached, is done.
+            more = (np.bincount(run) > 1) & (np.bincount(run, ~reached) > 0)
+            run, node, reached = run[more[run]], node[more[run]], reached[more[run]]
+    first, second = np.concatenate(a), np.concatenate(b)
+    kept = forest(first, second, len(known))
+    return np.column_stack((known[first[kept]], known[second[kept]])) if len(kept) else np.zeros((0, 2), np.uint64)
 
 
 def linked(nodes: DataFrame, radius: int) -> DataFrame:
@@ -250,6 +268,9 @@ def simhash_components(
     labels = nodes.join(named.hint("merge"), "fingerprint", "left").select(
         "fingerprint", F.coalesce("head", "first").alias("component_id")
     )
+    # A table, so that the join below has nothing behind or beside it and a hot fingerprint can be split.
+    labels = materialize(labels, "labels")
+    discard(nodes)
     return rows.join(labels.hint("merge"), "fingerprint").select(F.col("id").alias(id_col), "fingerprint", "component_id")
 
 
@@ -380,7 +401,9 @@ def near_copies(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """``id_col, keep_id``: texts whose shingles are similar to those of a smaller identifier that stays.
+    """``id_col, node, keep_id``: texts whose shingles are similar to those of a smaller identifier that stays.
+
+    ``node`` is the text's digest, which tells rows of one identifier apart.
 
     Components of ``shared_shingles`` gather the candidates: every pair that is at least
     ``similarity`` (Jaccard, shingles of ``shingle`` words) alike lies within one. Identifiers
@@ -394,14 +417,15 @@ def near_copies(
     digest = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     rows = docs.select(F.col(id_col).alias("id"), digest.alias("node"))
     roots = connected_components(shared_shingles(docs, shingle, similarity, text_col)).withColumnRenamed("node", "own")
-    found = rows.join(roots.hint("merge"), rows["node"] == roots["own"], "left").select(
-        "id", F.coalesce("root", "node").alias("part")
+    # Tables between the joins, so that hot digests and components can be split.
+    found = materialize(
+        rows.join(roots.hint("merge"), rows["node"] == roots["own"], "left").select("id", "node", F.coalesce("root", "node").alias("part")), "parts"
     )
     many = found.groupBy("part").agg(F.count("*").alias("n")).where("n > 1").select("part")
-    members = found.join(many.hint("merge"), "part").where("id is not null").distinct()
+    members = materialize(found.where("id is not null").join(many.hint("merge"), "part"), "many").distinct()
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    texts = docs.select(F.col(id_col).alias("id"), text.alias("text"))
-    left = materialize(members.join(texts.hint("merge"), "id"), "members")
+    texts = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("node"))
+    left = materialize(members.join(texts.hint("merge"), ["id", "node"]), "members")
 
     @F.arrow_udf(T.DoubleType())
     def likeness(a: pa.Array, b: pa.Array) -> pa.Array:
@@ -416,20 +440,19 @@ def near_copies(
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, kept = None, Kept(shingle, similarity)
         for batch in batches:
-            ids, keep_ids = [], []
-            for part, i, text in zip(*(batch.column(c).to_pylist() for c in range(3))):
+            out: list[tuple[int, int, int]] = []
+            for part, i, node, text in zip(*(batch.column(c).to_pylist() for c in range(4))):
                 if part != now:
                     now, kept = part, Kept(shingle, similarity)
                 copy_of = kept.decide(i, text)
                 if copy_of is not None:
-                    ids.append(i)
-                    keep_ids.append(copy_of)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keep_ids, pa.int64())], ["id", "keep_id"])
+                    out.append((i, node, copy_of))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out) if out else ((), (), ()))], ["id", "node", "keep_id"])
 
-    rest = judged.where("not close").select("part", F.col("id").cast("long").alias("id"), "text")
-    more = rest.repartition("part").sortWithinPartitions("part", "id").mapInArrow(stream, "id long, keep_id long")
-    out = judged.where("close").select("id", "keep_id").unionByName(more)
-    return out.select(F.col("id").alias(id_col), "keep_id")
+    rest = judged.where("not close").select("part", F.col("id").cast("long").alias("id"), "node", "text")
+    more = rest.repartition("part").sortWithinPartitions("part", "id", "node").mapInArrow(stream, "id long, node long, keep_id long")
+    out = judged.where("close").select("id", "node", "keep_id").unionByName(more)
+    return out.select(F.col("id").alias(id_col), "node", "keep_id")
 
 
 class Kept:
@@ -462,6 +485,10 @@ class Kept:
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without the copies that ``near_copies`` finds; of repeated identifiers all rows go."""
-    out = near_copies(docs, id_col=id_col, text_col=text_col, **options).select(F.col(id_col).alias("__out")).distinct()
-    return docs.join(out.hint("merge"), F.col(id_col) == F.col("__out"), "left_anti")
+    """``docs`` without the copies that ``near_copies`` finds; rows are told apart by identifier and text.
+
+    Rows of a null identifier all stay, and so do rows of one identifier with similar texts.
+    """
+    out = near_copies(docs, id_col=id_col, text_col=text_col, **options).select(F.col(id_col).alias("__out"), F.col("node").alias("__node")).distinct()
+    digest = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    return docs.join(out.hint("merge"), (F.col(id_col) == F.col("__out")) & (digest == F.col("__node")), "left_anti")
