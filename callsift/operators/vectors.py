@@ -32,10 +32,12 @@ def embed_segments(segments: DataFrame, provider) -> DataFrame:
 
 def centroids(rows: DataFrame, key: str, vector: str = "embedding") -> DataFrame:
     """``key, centroid``: the elementwise mean of each group, scaled to unit length."""
-    cells = rows.select(key, F.posexplode(vector).alias("pos", "x"))
-    means = cells.groupBy(key, "pos").agg(F.avg(F.col("x").cast("double")).alias("m"))
-    lines = means.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "m"))).alias("cells"))
-    return lines.select(key, normalized(F.transform("cells", lambda c: c["m"])).alias("centroid"))
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    # Means are kept up map-side, a vector a group.
+    means = rows.groupBy(key).agg(Summarizer.mean(array_to_vector(F.col(vector).cast("array<double>"))).alias("m"))
+    return means.select(key, normalized(vector_to_array("m")).alias("centroid"))
 
 
 def nearest_members(rows: DataFrame, key: str, order: list[str], k: int, vector: str = "embedding") -> DataFrame:

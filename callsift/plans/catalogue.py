@@ -6,14 +6,18 @@ conversations for utterances, embeddings for segment vectors).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
 from callsift.functions import scalar
 from callsift.operators import charts, classify, findings, lineage, metrics, privacy, segments, spans, topics, turns, vectors
-from callsift.schemas import CUSTOMER_FINDINGS, INTERNAL_FINDINGS, SOURCE_SETS
+from callsift.providers.offline import HashEmbedder, RuleModel
+from callsift.schemas import CUSTOMER_FINDINGS, INTERNAL_FINDINGS, SCHEMAS, SOURCE_SETS
 from callsift.settings import Settings
+from callsift.sources import tables
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -290,13 +294,15 @@ def q16_classification_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- patterns, hashes, groups ---------------------------------------------------------------
 
 
+def _found(docs: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    """``doc_id, kind, n, value`` of several kinds in one scan."""
+    each = F.array(*(F.struct(F.lit(kind).alias("kind"), scalar.matches(F.col("text"), kind).alias("values")) for kind in kinds))
+    return docs.select("doc_id", F.explode(each).alias("e")).select("doc_id", "e.kind", F.posexplode("e.values").alias("n", "value"))
+
+
 def q8_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts; e-mail and IPv4 addresses."""
-    docs = _t(spark, sf_dir, "documents")
-    both = [
-        docs.select("doc_id", F.lit(kind).alias("kind"), F.posexplode(scalar.matches(F.col("text"), kind)).alias("n", "value")) for kind in ("EMAIL_ADDRESS", "IP_ADDRESS")
-    ]
-    return both[0].unionByName(both[1]).select("doc_id", "kind", F.col("n").cast("long").alias("n"), "value")
+    return _found(_t(spark, sf_dir, "documents"), ("EMAIL_ADDRESS", "IP_ADDRESS")).select("doc_id", "kind", F.col("n").cast("long").alias("n"), "value")
 
 
 _ADDRESSES = r"""
@@ -311,12 +317,7 @@ _ADDRESSES = r"""
 
 def q9_cards_and_phones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts; cards that pass the check, and phone numbers. DuckDB's patterns have no look-behind."""
-    docs = _t(spark, sf_dir, "documents")
-    both = [
-        docs.select("doc_id", F.lit(kind).alias("kind"), F.posexplode(scalar.matches(F.col("text"), kind)).alias("n", "value"))
-        for kind in ("CREDIT_CARD", "PHONE_NUMBER", "US_SSN")
-    ]
-    return both[0].unionByName(both[1]).unionByName(both[2])
+    return _found(_t(spark, sf_dir, "documents"), ("CREDIT_CARD", "PHONE_NUMBER", "US_SSN"))
 
 
 def q10_top_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -411,6 +412,69 @@ def q19_topic_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topics.topic_terms(assigned, docs.select(ids, "text")).select("topic_id", "rank", "term")
 
 
+def _scratch(spark: SparkSession) -> str:
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or "/tmp/checkpoints"
+    return f"{base.rstrip('/')}/callsift-run-{uuid.uuid4().hex}"
+
+
+def _calls(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Conversations as transcripts and utterances; their start is spread over months by identifier."""
+    lines = _utterances(spark, sf_dir)
+    day = F.date_add(F.lit("2026-01-01").cast("date"), F.pmod(F.col("transcript_id").cast("long"), F.lit(90)).cast("int"))
+    month, text = F.date_format(day, "yyyy-MM"), F.coalesce("sentence", F.lit(""))
+    calls = lines.groupBy("transcript_id").agg(F.count("*").alias("utterance_count"), F.sha2(F.array_join(F.array_sort(F.collect_list(text)), "\n"), 256).alias("content_hash"))
+    calls = calls.withColumns({"transcript_datetime": day.cast("timestamp"), "transcript_month": month, "relative_path": F.concat(F.col("transcript_id"), F.lit("/transcript.json"))})
+    names = SCHEMAS["transcripts"].names
+    for f in SCHEMAS["transcripts"].fields:
+        if f.name not in calls.columns:
+            calls = calls.withColumn(f.name, F.lit(None).cast(f.dataType))
+    return calls.select(*names), lines.withColumn("sentence", text)
+
+
+def _whole_run(spark: SparkSession, sf_dir: str):
+    from callsift.plans.run import run_pipeline
+
+    return run_pipeline(spark, _calls(spark, sf_dir), _scratch(spark))
+
+
+def q20_run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every step over all conversations, from redaction to rates; the metrics."""
+    run = _whole_run(spark, sf_dir)
+    return tables.read_table(spark, run.stage_dir("aggregation"), "metrics").drop("filters")
+
+
+def q21_run_contributors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows behind the metrics of such a run, counted by metric."""
+    run = _whole_run(spark, sf_dir)
+    rows = tables.read_table(spark, run.stage_dir("aggregation"), "metric_contributors")
+    return rows.groupBy("chart_point_id").agg(F.count("*").alias("members"), F.countDistinct("transcript_id").alias("transcripts"))
+
+
+def q22_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations cut at topic shifts and at the cap, by hashed word vectors."""
+    rows = _utterances(spark, sf_dir).withColumn("sentence", F.coalesce("sentence", F.lit("")))
+    kinds = rows.select("transcript_id").distinct().withColumn("source_set", _kind("transcript_id"))
+    made = segments.create_segments(turns.materialize_turns(rows, kinds), HashEmbedder(), Settings(maximum_segment_tokens=60))
+    return made.select("segment_id", "transcript_id", F.col("order").alias("position"), "first_turn_id", "last_turn_id", F.size("turn_ids").cast("long").alias("turns"), "token_count")
+
+
+#: Closing lines that give the invented prose something to find.
+CLOSINGS = (
+    "", "Thanks, the outage is resolved and we are happy.", "We wish for a feature, else we cancel at renewal.", "It is slow and we are frustrated with the delay.",
+    "I will send the upgrade by Friday; no competitor is interested.", "Our capacity is a concern, a terrible problem.",
+)
+
+
+def q23_extracted_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings of documents, each with a closing line as one segment, by keyword rules."""
+    ids = F.col("doc_id").cast("string")
+    closing = F.get(F.array(*map(F.lit, CLOSINGS)), F.pmod("doc_id", F.lit(len(CLOSINGS))).cast("int"))
+    segs = _t(spark, sf_dir, "documents").select(
+        ids.alias("segment_id"), ids.alias("transcript_id"), _kind("doc_id").alias("source_set"), F.concat_ws("\n", F.coalesce("text", F.lit("")), closing).alias("text")
+    )
+    return findings.extract_findings(segs, RuleModel(), Settings()).select("finding_id", "segment_id", "source_set", "finding_type", "target", "value")
+
+
 QUERIES = {
     "q1_prevalence_monthly": q1_prevalence_monthly, "q2_prevalence_all_time": q2_prevalence_all_time, "q2_prevalence_both": q2_prevalence_both,
     "q3_finding_metrics": q3_finding_metrics, "q3_contributor_counts": q3_contributor_counts, "q4_proposals": q4_proposals, "q4_kept_findings": q4_kept_findings,
@@ -419,6 +483,7 @@ QUERIES = {
     "q11_overlap_groups": q11_overlap_groups, "q12_lineage": q12_lineage, "q13_fingerprints": q13_fingerprints, "q14_segment_ordinals": q14_segment_ordinals,
     "q15_unlabelled": q15_unlabelled, "q15_not_contained": q15_not_contained, "q16_redaction_reports": q16_redaction_reports,
     "q16_classification_counts": q16_classification_counts, "q17_document_mix": q17_document_mix, "q18_daily_counts": q18_daily_counts, "q19_topic_terms": q19_topic_terms,
+    "q20_run_metrics": q20_run_metrics, "q21_run_contributors": q21_run_contributors, "q22_segments": q22_segments, "q23_extracted_findings": q23_extracted_findings,
 }
 
 ORACLE_SQL = {

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from typing import Protocol
 
 from pyspark.sql import DataFrame
@@ -14,36 +15,38 @@ class Clusterer(Protocol):
 
 
 class BisectingClusterer:
-    """Principal components, bisecting k-means, and a distance cut for outliers.
+    """Principal components, bisecting k-means, and outliers by distance.
 
-    Clusters below the least size and the rows farthest from their centre are outliers;
-    ids number the clusters by size, then by smallest segment, from 0.
+    The number of centres is the root of ``rows / per_cluster_root``, however many rows there are, so
+    centres stay few next to rows. Rows farther from their centre than three quartile ranges beyond
+    the upper quartile, and clusters below the least size, are outliers; rows that lie close together
+    have none. Ids number the clusters by size, then by smallest segment, from 0.
     """
 
-    def __init__(self, components: int = 5, segments_per_cluster: int = 20, outlier_share: float = 0.05):
-        self.components, self.per, self.share = components, segments_per_cluster, outlier_share
+    def __init__(self, components: int = 5, per_cluster_root: float = 2.0, reach: float = 3.0):
+        self.components, self.root, self.reach = components, per_cluster_root, reach
 
     def fit(self, rows: DataFrame, least_size: int, seed: int) -> DataFrame:
+        from pyspark import StorageLevel
         from pyspark.ml.clustering import BisectingKMeans
         from pyspark.ml.feature import PCA
         from pyspark.ml.functions import array_to_vector, vector_to_array
 
-        vectors = rows.withColumn("v", array_to_vector(F.col("embedding").cast("array<double>")))
-        first = vectors.first()
-        n = rows.count()
-        size = len(first.embedding) if first else 0
-        reduced = PCA(k=max(1, min(self.components, size)), inputCol="v", outputCol="p").fit(vectors).transform(vectors)
-        k = max(2, min(200, n // max(self.per, least_size)))
+        # Read by every step below; lost blocks are made anew from the embeddings' table.
+        vectors = rows.withColumn("v", array_to_vector(F.col("embedding").cast("array<double>"))).persist(StorageLevel.MEMORY_AND_DISK)
+        n, size = vectors.agg(F.count("*"), F.coalesce(F.max(F.size("embedding")), F.lit(0))).first()
+        reduced = PCA(k=max(1, min(self.components, size)), inputCol="v", outputCol="p").fit(vectors).transform(vectors).drop("v")
+        k = max(2, min(math.ceil(math.sqrt(n / self.root)), n // least_size))
         model = BisectingKMeans(k=k, seed=seed, featuresCol="p", predictionCol="c", minDivisibleClusterSize=2.0 * least_size).fit(reduced)
         centres = rows.sparkSession.createDataFrame(
             [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())], "c int, centre array<double>"
         )
-        found = model.transform(reduced).join(F.broadcast(centres), "c")  # at most 200 centres
         gap = F.aggregate(F.zip_with(vector_to_array("p"), "centre", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
-        found = found.withColumn("gap", gap)
-        edge = found.agg(F.percentile_approx("gap", 1 - self.share, 10_000)).first()[0]
-        found = found.withColumn("c", F.when(F.col("gap") > F.lit(edge), -1).otherwise(F.col("c"))).drop("v", "p", "centre", "gap")
+        found = model.transform(reduced).join(centres, "c").withColumn("gap", F.sqrt(gap)).drop("p", "centre").persist(StorageLevel.MEMORY_AND_DISK)
+        low, high = found.agg(F.percentile_approx("gap", [0.25, 0.75], 10_000)).first()[0]
+        edge = high + self.reach * (high - low)
+        found = found.withColumn("c", F.when(F.col("gap") > F.lit(edge), -1).otherwise(F.col("c"))).drop("gap")
         sizes = found.where("c >= 0").groupBy("c").agg(F.count("*").alias("n"), F.min("segment_id").alias("least")).where(F.col("n") >= least_size)
-        # At most 200 clusters.
+        # As many rows as centres.
         names = sizes.withColumn("cluster_id", F.row_number().over(W.Window.orderBy(F.desc("n"), "least")) - 1).select("c", "cluster_id")
-        return found.join(F.broadcast(names), "c", "left").withColumn("cluster_id", F.coalesce("cluster_id", F.lit(-1))).drop("c")
+        return found.join(names, "c", "left").withColumn("cluster_id", F.coalesce("cluster_id", F.lit(-1))).drop("c")

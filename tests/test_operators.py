@@ -334,3 +334,45 @@ def test_scalars(spark):
         scalar.safe_rate(F.lit(1), F.lit(0)).alias("r"), scalar.placeholder(F.lit("PERSON"), F.lit(3)).alias("p"),
     ).first()
     assert (row.a, row.b, row.c, row.r, row.p) == ("2026-02-03 23:30:00", None, 2, 0.0, "[PERSON_03]")
+
+
+def test_polarity_counts_all_that_is_not_positive_against(spark):
+    rows = [("a", v) for v in ("neutral", "neutral", "positive")] + [("b", "neutral"), ("c", None), ("c", "positive"), ("d", "positive"), ("d", "positive"), ("d", "negative")]
+    out = spark.createDataFrame(rows, "k string, v string").groupBy("k").agg(metrics.majority_polarity(F.col("v")).alias("p")).collect()
+    assert {r.k: r.p for r in out} == {"a": "negative", "b": "negative", "c": "neutral", "d": "positive"}
+
+
+def test_segments_are_cut_by_the_tokens_of_the_whole_text():
+    lines = ["one two", "three", "four five six", "seven"]
+    joined = lambda text: 2 * text.count("\n") + len(text.split())  # noqa: E731  a tokenizer that counts line ends, too
+    assert segments.cuts_by_text(lines, [False] * 4, 5, joined) == [0, 0, 1, 2]
+    assert segments.cuts_by_text(lines, [False] * 4, 100, joined) == [0, 0, 0, 0]
+    assert segments.cuts_by_text(lines, [True] * 4, 100, joined) == [0, 1, 2, 3]
+    assert segments.cuts_by_text(["a b c", "d"], [False] * 2, 1, joined) == [0, 1] and segments.cuts_by_text([], [], 1, joined) == []
+
+
+def test_entity_detector():
+    found = privacy.EntityDetector(lambda t: [(0, 3, "PERSON", 0.9), (4, 8, "ORGANIZATION", 0.5), (4, 8, "PERSON", 0.4), (9, 10, "DATE", 1.0)]).detect("Ada Acme x")
+    assert [(s["value"], s["entity_type"], s["action"]) for s in found] == [("Ada", "PERSON", "redact"), ("Acme", "ORGANIZATION", "preserve")]
+
+
+def test_a_call_that_takes_too_long_fails():
+    import time
+
+    from callsift.providers.calls import Usage, with_retries
+
+    with pytest.raises(TimeoutError):
+        with_retries(lambda: time.sleep(2), 2, 0.0, timeout=0.05)
+    assert with_retries(lambda: ({"a": 1}, Usage(1, 2)), 1, 0.0, timeout=5)[0] == {"a": 1}
+
+
+def test_clusters_without_distant_rows_have_no_outliers(spark):
+    from callsift.providers.clusters import BisectingClusterer
+
+    rng = np.random.default_rng(0)
+    rows = [(f"s{i}", (rng.normal(0, 0.01, 8) + 3 * np.eye(8)[i % 2]).tolist()) for i in range(120)]
+    fit = lambda more: {r.segment_id: r.cluster_id for r in BisectingClusterer().fit(spark.createDataFrame(rows + more, "segment_id string, embedding array<double>"), 5, 1).collect()}
+    out = fit([])
+    assert all(c >= 0 for c in out.values()) or sum(c < 0 for c in out.values()) < 6
+    assert not {out[f"s{i}"] for i in range(0, 120, 2)} & {out[f"s{i}"] for i in range(1, 120, 2)} - {-1}
+    assert fit([("far", [90.0] * 8)])["far"] == -1
