@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -14,6 +15,19 @@ from callsift.shipping import ship
 
 #: Texts handed to a function at once stay below this many characters (one text may be longer).
 CHUNK_CHARS = 2_000_000
+#: Bound of an Arrow batch.
+BATCH_BYTES = 8_000_000
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Let the session hand Arrow batches of at most ``BATCH_BYTES`` to Python, unless it has a lower bound.
+
+    A batch of whole texts exists several times at once, in the JVM and in Python.
+    """
+    digits = re.match(r"\d+", spark.conf.get(BATCH_SETTING))
+    if digits is None or int(digits[0]) > BATCH_BYTES:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
 
 
 def chunks(texts: pa.ChunkedArray | pa.Array, limit: int = CHUNK_CHARS) -> Iterator[tuple[int, list[str]]]:
@@ -43,6 +57,7 @@ def map_texts(
     ``make`` runs once per task. The result has ``id_col``, the ``extra`` columns, then ``fields``.
     """
     ship(docs.sparkSession)
+    bound_batches(docs.sparkSession)
     keep = [id_col, *extra]
     schema = T.StructType([docs.schema[c] for c in keep] + list(fields.fields))
     arrow = to_arrow_schema(schema)

@@ -132,6 +132,29 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op3_sharding": """
+        WITH k AS (
+            -- the sixteen steps of a CRC-32 by half bytes, from its polynomial
+            SELECT list_transform(range(16), lambda n: list_reduce([n, 0, 0, 0, 0], lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS steps
+        ), t AS (
+            SELECT doc_id, source, coalesce(text, '') AS text, md5('17:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d, md5('17:' || coalesce(source, '')) AS p FROM documents
+        ), h AS (
+            SELECT doc_id, source, octet_length(encode(text)) + 8 AS size, string_split(lower(hex(encode(text))), '') AS c,
+                   CAST('0x' || substr(d, 1, 15) AS BIGINT) AS draw, (CAST('0x' || substr(p, 1, 5) AS BIGINT) + 0.5::DOUBLE) / 1048576 AS phase FROM t
+        ), x AS (
+            SELECT h.*, xor(4294967295, list_reduce(
+                list_prepend(4294967295, CASE WHEN size = 8 THEN [] ELSE list_transform(range(CAST(2 * (size - 8) AS BIGINT)), lambda i: CAST(instr('0123456789abcdef', c[1 + xor(i, 1)]) - 1 AS BIGINT)) END),
+                lambda v, b: xor(steps[1 + (xor(v, b) & 15)], v >> 4))) AS crc
+            FROM h, k
+        ), r AS (
+            SELECT *, row_number() OVER (PARTITION BY source ORDER BY draw, doc_id) - 1 AS r, count(*) OVER (PARTITION BY source) AS n FROM x
+        ), l AS (
+            SELECT *, row_number() OVER (ORDER BY (r + phase) / n, draw, doc_id) - 1 AS place, count(*) OVER () AS total FROM r
+        ), s AS (SELECT *, place * 24 // total AS shard FROM l)
+        SELECT doc_id, CAST(size AS BIGINT) AS size, crc AS text_crc32, 'rows' AS law, CAST(shard AS INTEGER) AS shard,
+               CAST(place - (shard * total + 23) // 24 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard, source
+        FROM s
+    """,
     "op1_topk": """
         WITH t AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v

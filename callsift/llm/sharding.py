@@ -19,7 +19,7 @@ gives no rows; further columns are never read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
@@ -30,6 +30,12 @@ LAW = "rows"
 ROW_OVERHEAD = 8
 
 
+def drawn(seed: int, value: Column, bits: int) -> Column:
+    """A number of so many bits (a multiple of four) from the seed and a text; null counts as empty."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(value, F.lit(""))).cast("binary"))
+    return F.conv(F.substring(digest, 1, bits // 4), 16, 10).cast("long")
+
+
 def interleave(
     docs: DataFrame,
     n_shards: int,
@@ -45,7 +51,7 @@ def interleave(
         F.col(source_col).cast("string").alias("source"),
         (F.octet_length(text) + ROW_OVERHEAD).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("crc"),
-    ).withColumn("draw", F.xxhash64(F.lit(seed), F.col("id")))
+    ).withColumn("draw", drawn(seed, F.col("id").cast("string"), 60))
     tie = ["draw", "id", "crc", "size"]
 
     ranked = with_position(base, ["source", *tie])
@@ -57,7 +63,7 @@ def interleave(
         (F.sum("n").over(over.orderBy("_part")) - F.col("n") - F.col("first")).alias("shift"),
         F.sum("n").over(over).alias("total"),
     )
-    phase = (F.pmod(F.xxhash64(F.lit(seed), "source"), F.lit(1 << 20)) + 0.5) / (1 << 20)
+    phase = (drawn(seed, F.col("source"), 20) + 0.5) / (1 << 20)
     same_run = (F.col("_part") == F.col("p")) & F.col("source").eqNullSafe(F.col("s"))
     placed = ranked.join(runs, same_run).select(
         "id", "source", "size", "crc", "draw",

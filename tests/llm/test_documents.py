@@ -53,8 +53,9 @@ def test_interleave_counts_slots_and_mixture(spark):
         for source, n in share.items():
             assert abs(own[source] - n / 7) < 4
     # The same rows by plain Python: rank by draw within a source, then by fraction.
-    draws = {r.doc_id: r.h for r in docs.select("doc_id", F.xxhash64(F.lit(17), "doc_id").alias("h")).collect()}
-    phases = {r.source: (r.h % 2**20 + 0.5) / 2**20 for r in docs.select("source", F.xxhash64(F.lit(17), "source").alias("h")).collect()}
+    number = lambda value, digits: int(hashlib.md5(f"17:{value}".encode()).hexdigest()[:digits], 16)
+    draws = {i: number(i, 15) for i, _, _ in rows}
+    phases = {s: (number(s, 5) + 0.5) / 2**20 for _, _, s in rows}
     by = defaultdict(list)
     for i, t, s in rows:
         by[s].append(i)
@@ -492,6 +493,33 @@ def test_toxicity_models_are_distributions_and_equal_their_definition():
 # --- pipeline -------------------------------------------------------------------------------
 
 
+def test_near_copies_of_a_table_equal_brute_force(spark):
+    """All pairs of a Jaccard similarity of 0.8 or more: none is lost, and nothing else goes."""
+    from callsift.llm.simhash import drop_near_copies, shingle_hashes
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    kept, holders, gone = {}, defaultdict(list), 0
+    for r in sorted(docs.collect()):
+        own = set(shingle_hashes(r.text or "", 5).tolist())
+        near = Counter(k for h in own for k in holders[h])
+        if any(n >= 0.8 * (len(own) + len(kept[k]) - n) for k, n in near.items()) or (not own and () in kept.values()):
+            gone += 1
+            continue
+        kept[r.doc_id] = own or ()
+        for h in own:
+            holders[h].append(r.doc_id)
+    assert {r.doc_id for r in drop_near_copies(docs).collect()} == set(kept) and gone > 20
+
+
+def test_near_copies_are_rows_of_identifier_and_text(spark):
+    from callsift.llm.simhash import drop_near_copies
+
+    long = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, long), (2, long + " more"), (2, "quite another text of its own with many words"), (3, long), (None, long), (4, ""), (5, None), (6, "")]
+    out = drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string, node string").withColumn("part", F.lit(1))).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in out) == sorted([(1, long), (2, rows[2][1]), (0, long), (4, "")])
+
+
 def test_pipeline_stages(spark, sf):
     import corpus_pipeline as p
 
@@ -503,6 +531,29 @@ def test_pipeline_stages(spark, sf):
         assert out.count() <= docs.count()
         docs = out
     assert p.STAGES[-1][1](spark, docs, sf).select("doc_id").distinct().count() == docs.count()
-    bare = table(spark)
+
+
+@pytest.mark.parametrize("rows", ["hostile", "none"])
+def test_pipeline_stages_over_hostile_rows(spark, sf, rows):
+    import corpus_pipeline as p
+
+    docs = table(spark) if rows == "hostile" else empty(spark)
+    want = [(r.doc_id, r.text) for r in docs.collect()]
     for name, stage in p.STAGES:
-        assert stage(spark, bare, sf).columns, name
+        out = stage(spark, docs, sf)
+        made = out.collect()
+        if name == "packing":
+            assert {r.doc_id for r in made} == {i for i, _ in want}
+            continue
+        assert out.columns == docs.columns, name
+        got = [(r.doc_id, r.text) for r in made]
+        if name == "exact_dedup":
+            texts = {}
+            for i, t in want:
+                texts[t or ""] = max(texts.get(t or "", -1), -1 if i is None else i)
+            assert sorted((t or "", -1 if i is None else i) for i, t in got) == sorted(texts.items())
+        elif name == "secrets":
+            assert [i for i, _ in got if i is not None] and len(got) == len(want) if want else not got
+        else:
+            assert not Counter(got) - Counter(want), name
+        want, docs = got, spark.createDataFrame(made, docs.schema)
