@@ -132,6 +132,34 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op2_suffix_dedup": """
+        WITH t AS (
+            SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+        ), w AS (
+            -- windows of 50 bytes, by way of blocks of 500
+            SELECT doc_id, 500 * q + i AS p, substr(part, 2 * i + 1, 100) AS s
+            FROM (SELECT doc_id, q, part, unnest(range(len(part) // 2 - 49)) AS i
+                  FROM (SELECT doc_id, q, substr(h, 1000 * q + 1, 1098) AS part FROM (SELECT doc_id, h, unnest(range((greatest(len(h) // 2 - 49, 0) + 499) // 500)) AS q FROM t)))
+        ), m AS (
+            SELECT s, min(doc_id) AS least FROM w GROUP BY s
+        ), g AS (
+            SELECT DISTINCT doc_id, p FROM w JOIN m USING (s) WHERE least < doc_id
+        ), b AS (
+            SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 50 THEN 0 ELSE 1 END AS opens FROM g
+        ), r AS (
+            SELECT doc_id, p, sum(opens) OVER (PARTITION BY doc_id ORDER BY p ROWS UNBOUNDED PRECEDING) AS k FROM b
+        ), x AS (
+            SELECT doc_id, k, min(p) AS a, max(p) + 50 AS e FROM r GROUP BY doc_id, k
+        ), y AS (
+            SELECT doc_id, a, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM x
+        ), z AS (
+            SELECT doc_id, sum(e - a) AS gone, count(*) AS spans, max(e) AS last, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head
+            FROM y JOIN t USING (doc_id) GROUP BY doc_id
+        )
+        SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, CAST(coalesce(spans, 0) AS BIGINT) AS n_spans,
+               sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+        FROM t LEFT JOIN z USING (doc_id)
+    """,
     "op3_sharding": """
         WITH k AS (
             -- the sixteen steps of a CRC-32 by half bytes, from its polynomial
