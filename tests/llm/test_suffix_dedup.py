@@ -62,11 +62,12 @@ def test_deep_shallow_order(texts):
         starts += [at + i for i in range(len(t) - 49)]
         at += len(t)
     starts = np.array(starts)
-    order, first = m.deep_shallow(buf, starts)
-    assert sorted(order.tolist()) == list(range(len(starts)))
-    strings = [bytes(buf[starts[i] : starts[i] + 50]) for i in order]
-    assert strings == sorted(strings)
-    assert first.tolist() == [k == 0 or strings[k] != strings[k - 1] for k in range(len(strings))]
+    for shallow in (0, 8, 16, 48):  # from tries almost alone to quicksort almost alone
+        order, first = m.deep_shallow(buf, starts, shallow=shallow)
+        assert sorted(order.tolist()) == list(range(len(starts)))
+        strings = [bytes(buf[starts[i] : starts[i] + 50]) for i in order]
+        assert strings == sorted(strings)
+        assert first.tolist() == [k == 0 or strings[k] != strings[k - 1] for k in range(len(strings))]
 
 
 @given(st.lists(st.binary(max_size=300) | st.sampled_from([b"ab" * 200, b"x" * 400]), max_size=6))
