@@ -312,7 +312,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", trainer
         return [found[i] for i in order.tolist()]
 
     dealt = rows.where(F.octet_length("text") > 0).mapInArrow(deal, "trainer long, blob binary")
-    first = rows.where(F.col("key") <= limit).mapInArrow(deal, "trainer long, blob binary").collect()
+    first = rows.where(F.col("key") <= limit).dropDuplicates(["key"]).mapInArrow(deal, "trainer long, blob binary").collect()
     start = Trainer(Network(), vocabulary)
     if first:
         line = joined(documents([bytes(r.blob) for r in first]))
