@@ -68,7 +68,8 @@ def map_texts(
             for start, texts in chunks(batch.column(len(keep))):
                 made = fn(texts)
                 columns = [batch.column(i).slice(start, len(texts)).cast(arrow.field(i).type) for i in range(len(keep))]
-                columns += [pa.array(made[f.name], arrow.field(f.name).type) for f in fields.fields]
+                own = [(made[f.name], arrow.field(f.name).type) for f in fields.fields]
+                columns += [x.cast(kind) if isinstance(x, pa.Array) else pa.array(x, kind) for x, kind in own]
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
     return docs.select(*keep, F.col(text_col).cast("string").alias("__text")).mapInArrow(run, schema)

@@ -98,8 +98,8 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def folded(ids: Column, shift: Column, table: Column) -> Column:
-    """The ids of one piece, given the ids of its bytes (``array<bigint>``)."""
+def folded(ids: Column, shift: Column, table: Column, long: bool = False) -> Column:
+    """The ids of one piece, given the ids of its bytes (``array<bigint>``); ``long`` chooses the steps, not the result."""
     none = F.lit(1 << (PLACE_BITS + 16))
 
     def rank(a: Column, b: Column) -> Column:
@@ -167,8 +167,10 @@ def folded(ids: Column, shift: Column, table: Column) -> Column:
         return F.when(state["over"], state).otherwise(let(lowest(state["w"]), go))
 
     steps = F.sequence(F.lit(1), F.greatest(F.size(ids) - 1, F.lit(1)))
+    if not long:
+        return F.aggregate(steps, ids, one)
     start = F.struct(ids.alias("w"), F.lit(False).alias("over"))
-    return F.when(F.size(ids) <= LONG_PIECE, F.aggregate(steps, ids, one)).otherwise(F.aggregate(steps, start, many, lambda s: s["w"]))
+    return F.aggregate(steps, start, many, lambda s: s["w"])
 
 
 def dictionary(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str, id_col: str, maps: tuple[Column, Column], sample_docs: int) -> dict[str, bytes]:
@@ -232,24 +234,28 @@ def encode(
 
         split = regex.compile(pattern).findall
         start, known = sent.value
-        get = known.get
+        start, get = np.array(start, np.int16), known.get
 
         def run(texts: list[str]) -> dict[str, list]:
-            flat, rare, order = [], [], []
+            flat, order = [], []
+            found: tuple[list[dict[bytes, int]], ...] = ([], [])  # new pieces of each text: short ones, long ones
             for t in texts:
                 pieces = split(t)
-                got = [get(p) for p in pieces]
-                new: dict[bytes, int] = {}
+                got = list(map(get, pieces))
+                short: dict[bytes, int] = {}
+                long: dict[bytes, int] = {}
                 refs = []
-                if None in got:
-                    for i, v in enumerate(got):
-                        if v is None:
-                            got[i] = hole
-                            refs.append(new.setdefault(pieces[i].encode("utf-8", "replace"), len(new)))
+                for i in [i for i, v in enumerate(got) if v is None]:
+                    got[i] = hole
+                    raw = pieces[i].encode("utf-8", "replace")
+                    # Long ones count down from -1 until it is known how many short ones come before them.
+                    refs.append(short.setdefault(raw, len(short)) if len(raw) <= LONG_PIECE else -1 - long.setdefault(raw, len(long)))
                 flat.append(b"".join(got))
-                rare.append([[start[b] for b in raw] for raw in new])
-                order.append(np.array(refs, "<u4").tobytes())
-            return {"flat": flat, "rare": rare, "refs": order}
+                refs = np.array(refs, np.int64)
+                order.append(np.where(refs < 0, len(short) - 1 - refs, refs).astype("<u4").tobytes())
+                found[0].append(short)
+                found[1].append(long)
+            return {"flat": flat, "rare": byte_arrays(found[0], start), "long": byte_arrays(found[1], start), "refs": order}
 
         return run
 
@@ -257,11 +263,13 @@ def encode(
         [
             T.StructField("flat", T.BinaryType()),
             T.StructField("rare", T.ArrayType(T.ArrayType(T.ShortType()))),  # bytes have the lowest ids
+            T.StructField("long", T.ArrayType(T.ArrayType(T.ShortType()))),
             T.StructField("refs", T.BinaryType()),
         ]
     )
     coded = map_texts(docs, make, fields, id_col, text_col)
-    coded = coded.select(id_col, "flat", "refs", F.transform("rare", lambda w: folded(w.cast("array<bigint>"), *maps)).alias("rare"))
+    fold = lambda name, long: F.transform(name, lambda w: folded(w.cast("array<bigint>"), *maps, long))
+    coded = coded.select(id_col, "flat", "refs", F.concat(fold("rare", False), fold("long", True)).alias("rare"))
 
     out = [docs.schema[id_col], T.StructField("ids", T.BinaryType())] + [T.StructField("decoded", T.BinaryType())] * with_decoded
     schema = T.StructType(out)
@@ -282,6 +290,14 @@ def encode(
     return coded.mapInArrow(fill, schema)
 
 
+def byte_arrays(words: list[dict[bytes, int]], start: np.ndarray) -> pa.Array:
+    """For each text its words, each as the ids of its bytes."""
+    every = [w for own in words for w in own]
+    ends = lambda sizes: pa.array(np.concatenate(([0], np.cumsum(np.fromiter(sizes, np.int64, -1)))).astype(np.int32))
+    values = pa.array(start[np.frombuffer(b"".join(every), np.uint8)])
+    return pa.ListArray.from_arrays(ends(map(len, words)), pa.ListArray.from_arrays(ends(map(len, every)), values))
+
+
 def fill_holes(flat: np.ndarray, refs: np.ndarray, rare: pa.Array) -> np.ndarray:
     """The document's ids: each hole gives way to the ids of the rare word it refers to."""
     if not len(refs):

@@ -22,7 +22,7 @@ def test_long_pieces_are_folded(spark):
     pieces += [rng.randbytes(120) for _ in range(10)]
     maps = [byte_bpe.literal(spark, x) for x in byte_bpe.rank_table(RANKS)]
     rows = spark.createDataFrame([(i, [RANKS[bytes([b])] for b in p]) for i, p in enumerate(pieces)], "i int, ids array<bigint>")
-    for r in rows.select("i", byte_bpe.folded(rows["ids"], *maps).alias("out")).collect():
+    for r in rows.select("i", byte_bpe.folded(rows["ids"], *maps, long=True).alias("out")).collect():
         assert r.out == LIBRARY._encode_single_piece(pieces[r.i]), pieces[r.i]
 
 
