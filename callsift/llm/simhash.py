@@ -421,7 +421,7 @@ def near_copies(
     found = materialize(
         rows.join(roots.hint("merge"), rows["node"] == roots["own"], "left").select("id", "node", F.coalesce("root", "node").alias("part")), "parts"
     )
-    many = found.groupBy("part").agg(F.count("*").alias("n")).where("n > 1").select("part")
+    many = materialize(found.groupBy("part").agg(F.count("*").alias("n")).where("n > 1").select("part"), "counts")
     members = materialize(found.where("id is not null").join(many.hint("merge"), "part"), "many").distinct()
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     texts = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("node"))
@@ -434,6 +434,7 @@ def near_copies(
     ship(docs.sparkSession)
     first = left.groupBy("part").agg(F.min_by(F.struct("id", "text"), F.struct("id", F.xxhash64("text"))).alias("head"))
     heads = first.select("part", F.col("head.id").alias("keep_id"), F.col("head.text").alias("keep_text"))
+    heads = materialize(heads, "heads")
     judged = left.join(heads.hint("merge"), "part").where("id <> keep_id")
     judged = materialize(judged.withColumn("close", likeness("text", "keep_text") >= similarity).drop("keep_text"), "judged")
 
