@@ -410,17 +410,19 @@ def _group_segments(ids: np.ndarray, texts: list[bytes], shared: list[np.ndarray
 def _read_group(left: pa.Table, right: pa.Table) -> tuple[list, np.ndarray, list[bytes], list[np.ndarray]]:
     """A group's documents in a fixed order: identifiers (also as numbers), texts, shared keys."""
     rows = sorted(zip(left.column("id").to_pylist(), left.column("text").to_pylist()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
-    found: dict[int, list[np.ndarray]] = {}
+    # One sort over the blobs of all owners: an identifier has rows in nearly as many as it has anchors.
+    all_ids, all_keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
     for kind, blob in zip(right.column("kind").to_pylist(), right.column("blob").to_pylist()):
         if kind == SHARED:
             (ids, low), owner = _unpack(blob, "i8", "u4")
-            key = np.uint64(int.from_bytes(owner, "little") << 32) | low.astype(np.uint64)
-            by = np.argsort(ids, kind="stable")
-            ids, key = ids[by], key[by]
-            cut = np.flatnonzero(_runs(ids)).tolist() + [len(ids)]
-            for a, b in zip(cut, cut[1:]):
-                found.setdefault(int(ids[a]), []).append(key[a:b])
-    keys = {i: np.unique(np.concatenate(k)) for i, k in found.items()}
+            all_ids.append(ids)
+            all_keys.append(np.uint64(int.from_bytes(owner, "little") << 32) | low.astype(np.uint64))
+    ids, key = np.concatenate(all_ids), np.concatenate(all_keys)
+    by = np.lexsort((key, ids))
+    by = by[_runs(ids[by], key[by])]
+    ids, key = ids[by], key[by]
+    heads = np.flatnonzero(_runs(ids))
+    keys = {i: key[a:b] for i, a, b in zip(ids[heads].tolist(), heads.tolist(), np.append(heads, len(ids))[1:].tolist())}
     none = np.zeros(0, np.uint64)
     own = [r[0] for r in rows]
     return own, np.array([i or 0 for i in own], np.int64), [r[1] for r in rows], [keys.get(i, none) for i in own]
@@ -568,9 +570,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
 
 
 def _smaller_runs(texts: list[bytes], anchor: np.ndarray, least: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """``(segment, first window, windows, smallest identifier)``: runs of equal minima in all segments.
+    """``(bounds, first window, windows, smallest identifier)``: runs of equal minima in all segments.
 
-    Segments are sorted in blocks of whole anchors, so what is held at once does not grow with an owner.
+    The runs of segment ``i`` are those from ``bounds[i]`` to ``bounds[i + 1]``. Segments are sorted in blocks of whole anchors, so what is held at once does not grow with an owner.
     """
     by = np.argsort(anchor, kind="stable")
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))[by]
@@ -595,15 +597,20 @@ def _smaller_runs(texts: list[bytes], anchor: np.ndarray, least: np.ndarray, len
         runs = (own[seg[at]], within[at], np.diff(np.append(at, len(best))), best[at])
         for store, value in zip(out, runs):
             store.append(value)
-    return tuple(np.concatenate(x) for x in out)
+    seg, *rest = (np.concatenate(x) for x in out)
+    by = np.argsort(seg, kind="stable")
+    bounds = np.concatenate(([0], np.cumsum(np.bincount(seg, minlength=len(texts)))))
+    return bounds, *(x[by] for x in rest)
 
 
 def _expand(runs: tuple[np.ndarray, ...], own: np.ndarray) -> tuple[np.ndarray, ...]:
-    """``runs`` of the segments ``own``, numbered by their place there."""
-    by = np.argsort(runs[0], kind="stable")
-    seg, place, count, best = (x[by] for x in runs)
-    lo, hi = np.searchsorted(seg, own), np.searchsorted(seg, own, "right")
-    n = hi - lo
+    """``runs`` of the segments ``own``, numbered by their place there.
+
+    Called once for every group that an owner answers, so its time must be that of ``own`` alone.
+    """
+    bounds, place, count, best = runs
+    lo = bounds[own]
+    n = bounds[own + 1] - lo
     member = np.repeat(np.arange(len(own)), n)
     run = np.arange(len(member)) - np.repeat(np.cumsum(n) - n, n) + lo[member]
     return member, place[run], count[run], best[run]

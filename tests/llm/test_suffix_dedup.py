@@ -83,3 +83,20 @@ def test_segments_cover_every_window_once(texts):
     by = {}
     for (d, p), a in seen.items():
         assert by.setdefault(texts[d][p : p + 50], a) == a
+
+
+def test_answers_cost_what_they_hold():
+    """An owner answers every group of documents, so answers must not read all of its runs each time."""
+    import time
+
+    rng = random.Random(6)
+    texts = [rng.randbytes(50 + k % 9) for k in range(60_000)]
+    least = np.array([rng.randrange(1000) for _ in texts])
+    runs = m._smaller_runs(texts, np.array([rng.randrange(1 << 32) for _ in texts], np.uint32), least, 50)
+    groups = [np.array(rng.sample(range(len(texts)), 12)) for _ in range(5000)]
+    began = time.process_time()
+    answers = [m._expand(runs, own) for own in groups]
+    assert time.process_time() - began < 3
+    for own, (member, place, count, best) in zip(groups, answers):
+        assert member.tolist() == list(range(12)) and not place.any()
+        assert count.tolist() == [1 + i % 9 for i in own.tolist()] and (best == least[own]).all()
