@@ -324,14 +324,17 @@ def by_target(batches: Iterator[pa.RecordBatch], kinds: list) -> Iterator[list[n
         yield unpack(held)
 
 
-def shared_shingles(docs: DataFrame, shingle: int, similarity: float, text_col: str = "text") -> DataFrame:
-    """``a, b``: links between digests of texts that join every pair of the Jaccard ``similarity``.
+def shared_shingles(docs: DataFrame, groups: DataFrame, shingle: int, similarity: float, text_col: str = "text") -> DataFrame:
+    """``a, b``: links that join every pair of the Jaccard ``similarity`` that ``groups`` leave apart.
+
+    ``groups`` (``node, group``) names the group of a text's digest; all others are groups of their own.
+    Links are between groups, none lies within one.
 
     Prefix filtering with the rarest shingles first: a text's shingles are ordered by the
     number of texts that have them, then by hash, and two similar texts share one of each
     other's ``prefix_length`` first ones. A shingle that one text alone has links nothing,
     so texts with enough of those leave at once. All texts with a shared shingle in their
-    prefix are linked to the smallest of them, a link for each text and not for each pair.
+    prefix are linked to the smallest group of them, a link for each group and not for each pair.
     Nothing is verified here. Texts without words share one shingle.
     """
     spark = docs.sparkSession
@@ -341,6 +344,12 @@ def shared_shingles(docs: DataFrame, shingle: int, similarity: float, text_col:
     targets = 4 * fewer
     modulus = np.uint64(targets)
 
+    def packed(hashes: list[np.ndarray], nodes: list[int], sizes: list[int]) -> pa.RecordBatch:
+        h, size = np.concatenate(hashes), np.array(sizes, np.uint32)
+        # Sizes in two halves: the upper one is nearly always zero and takes no room on disk.
+        columns = [np.array(nodes, np.int64), (size & np.uint32(0xFFFF)).astype(np.uint16), (size >> np.uint32(16)).astype(np.uint16)]
+        return cut(h % modulus, targets, [h] + [np.repeat(c, size) for c in columns])
+
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, nodes, sizes, held = [], [], [], 0
         for batch in batches:
@@ -348,19 +357,18 @@ def shared_shingles(docs: DataFrame, shingle: int, similarity: float, text_col:
                 own = np.unique(shingle_hashes(text.as_py(), shingle))
                 own = own if len(own) else np.zeros(1, np.uint64)
                 hashes.append(own)
-                nodes.append(np.full(len(own), node, np.int64))
-                sizes.append(np.full(len(own), len(own), np.uint32))
+                nodes.append(node)
+                sizes.append(len(own))
                 held += len(own)
                 if held > HELD:
-                    h = np.concatenate(hashes)
-                    yield cut(h % modulus, targets, [h, np.concatenate(nodes), np.concatenate(sizes)])
+                    yield packed(hashes, nodes, sizes)
                     hashes, nodes, sizes, held = [], [], [], 0
         if held:
-            h = np.concatenate(hashes)
-            yield cut(h % modulus, targets, [h, np.concatenate(nodes), np.concatenate(sizes)])
+            yield packed(hashes, nodes, sizes)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for h, node, size in by_target(batches, [np.uint64, np.int64, np.uint32]):
+        for h, node, low, high in by_target(batches, [np.uint64, np.int64, np.uint16, np.uint16]):
+            size = low + (high.astype(np.uint32) << np.uint32(16))
             order = np.lexsort((node, h))
             h, node, size = h[order], node[order], size[order]
             # Equal texts are one node.
@@ -389,7 +397,10 @@ def shared_shingles(docs: DataFrame, shingle: int, similarity: float, text_col:
     dealt = docs.select(F.xxhash64(text).alias("node"), text.alias("text")).mapInArrow(deal, "target int, blob binary")
     met = dealt.repartition(targets, "target").sortWithinPartitions("target").mapInArrow(meet, "target int, blob binary")
     firsts = met.repartition(fewer, "target").sortWithinPartitions("target").mapInArrow(settle, "h long, node long")
-    firsts = materialize(firsts, "prefixes")
+    prefixes = materialize(firsts, "prefixes")
+    named = prefixes.join(groups.hint("merge"), "node", "left").select("h", F.coalesce("group", "node").alias("node"))
+    firsts = materialize(named.distinct(), "firsts")
+    discard(prefixes)
     heads = firsts.groupBy("h").agg(F.min("node").alias("b"), F.count("*").alias("n")).where("n > 1").select("h", "b")
     return firsts.join(heads.hint("merge"), "h").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
 
@@ -398,6 +409,8 @@ def near_copies(
     docs: DataFrame,
     shingle: int = 5,
     similarity: float = 0.8,
+    feature: int = 4,
+    radius: int = 4,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -405,8 +418,11 @@ def near_copies(
 
     ``node`` is the text's digest, which tells rows of one identifier apart.
 
-    Components of ``shared_shingles`` gather the candidates: every pair that is at least
-    ``similarity`` (Jaccard, shingles of ``shingle`` words) alike lies within one. Identifiers
+    SimHash components by Golay keys (``simhash_components``: shingles of ``feature`` words,
+    fingerprints within ``radius`` bits) gather the candidates. Fingerprints miss pairs, as with a
+    block added or cut, so ``shared_shingles`` then joins the components that hold such pairs:
+    every pair that is at least ``similarity`` (Jaccard, shingles of ``shingle`` words) alike
+    lies within one candidate group. Identifiers
     then decide in ascending order within a component: one that is that similar to an
     identifier that stays is its copy, all others stay. First every member is compared with
     its component's smallest identifier by a join that spreads over tasks, which settles
@@ -416,11 +432,14 @@ def near_copies(
     """
     digest = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     rows = docs.select(F.col(id_col).alias("id"), digest.alias("node"))
-    roots = connected_components(shared_shingles(docs, shingle, similarity, text_col)).withColumnRenamed("node", "own")
+    nodes = docs.select(digest.alias("node"), F.col(text_col).alias("text"))
+    linked_nodes = simhash_components(nodes, feature, radius, "node", "text").where("node <> component_id")
+    groups = materialize(linked_nodes.select("node", F.col("component_id").alias("group")).distinct(), "groups")
+    roots = connected_components(shared_shingles(docs, groups, shingle, similarity, text_col)).withColumnRenamed("node", "own")
     # Tables between the joins, so that hot digests and components can be split.
-    found = materialize(
-        rows.join(roots.hint("merge"), rows["node"] == roots["own"], "left").select("id", "node", F.coalesce("root", "node").alias("part")), "parts"
-    )
+    named = rows.join(groups.hint("merge"), "node", "left").select("id", "node", F.coalesce("group", "node").alias("own"))
+    named = materialize(named, "named")
+    found = materialize(named.join(roots.hint("merge"), "own", "left").select("id", "node", F.coalesce("root", "own").alias("part")), "parts")
     many = materialize(found.groupBy("part").agg(F.count("*").alias("n")).where("n > 1").select("part"), "counts")
     members = materialize(found.where("id is not null").join(many.hint("merge"), "part"), "many").distinct()
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))

@@ -32,7 +32,10 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts with a five-word shingle similarity of 0.8 or more the smallest identifier stays."""
+    """Of texts with a five-word shingle similarity of 0.8 or more the smallest identifier stays.
+
+    SimHash components by Golay keys gather them, a prefix filter joins those that fingerprints leave apart.
+    """
     return drop_near_copies(docs)
 
 

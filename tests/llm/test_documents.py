@@ -350,6 +350,36 @@ def test_near_copies_with_block_edits_equal_brute_force(spark):
     assert {r.doc_id for r in drop_near_copies(docs).collect()} == {i for i, _ in kept} | {None}
 
 
+def test_golay_keys_gather_near_copies(spark, monkeypatch):
+    """Copies within the radius are found by fingerprints alone; the prefix filter has only pairs between their components."""
+    import random
+
+    from callsift.llm import simhash as s
+
+    rng = random.Random(8)
+    rows = []
+    for k in range(30):
+        w = [f"w{rng.randrange(4000)}" for _ in range(300)]
+        rows += [(10 * k, " ".join(w)), (10 * k + 1, " ".join(w[:-2])), (10 * k + 2, " ".join(w[:-45]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    prints = {i: s.majority(s.shingle_hashes(t, 4)) for i, t in rows}
+    near = {(i, j) for i in prints for j in prints if i < j and (prints[i] ^ prints[j]).bit_count() <= 4}
+    assert {i % 10 for i, _ in near} <= {0, 1} and {i // 10 - j // 10 for i, j in near} == {0}
+    reached = {i for i, _ in rows if i % 10 == 0}
+    for _ in range(2):
+        reached |= {n for pair in near for n in pair if reached & set(pair)}
+    reached -= {i for i, _ in rows if i % 10 == 0}
+    assert 15 < len(reached) < 60
+    every, given = s.shared_shingles, []
+    monkeypatch.setattr(s, "shared_shingles", lambda docs, groups, *a: given.append(groups) or spark.createDataFrame([], "a long, b long"))
+    assert {i for i, _ in rows} - {r.doc_id for r in s.drop_near_copies(docs).collect()} == reached
+    links = every(docs, given[0], 5, 0.8).collect()
+    inside = {r.node for r in given[0].collect()}
+    assert links and not inside & {n for r in links for n in r}
+    monkeypatch.undo()
+    assert {r.doc_id for r in s.drop_near_copies(docs).collect()} == {i for i, _ in rows if i % 10 == 0}
+
+
 # --- packing --------------------------------------------------------------------------------
 
 
