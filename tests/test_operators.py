@@ -244,6 +244,26 @@ def test_metadata_labels_and_outliers(spark):
     assert len(label) == 1 and label[0].centroid_segment_ids == ["s2", "s1"] and "billing" in label[0].label
 
 
+def test_terms_in_one_pass(spark):
+    """Repeated segments and topics that share segments; each text is cut into terms once, in no pair of term and segment."""
+    rows = [("v", f"v:{t}", t, s, "t", "customer-support", False) for t, s in ((0, "s0"), (0, "s0"), (0, "s1"), (1, "s1"), (1, "s2"), (1, "s3"))]
+    texts = {"s0": "billing fee", "s1": "billing login", "s2": "login outage", "s3": "login outage billing"}
+    df = spark.createDataFrame(rows, SCHEMAS["topic_assignments"])
+    segs = spark.createDataFrame([(s, "t", "customer-support", 0, "x", "y", [], [], x, 1) for s, x in texts.items()], SCHEMAS["segments"])
+    for least in (1, 2, 3, 4):
+        words = [(t, s, w) for _, _, t, s, *_ in rows for own in [texts[s].split()] for w in own + [" ".join(p) for p in zip(own, own[1:])]]
+        known = [(t, w) for t, s, w in words if len({b for _, b, x in words if x == w}) >= least]
+        size = {t: sum(x == t for x, _ in known) for t, _ in known}
+        weight = lambda t, w: np.sqrt(known.count((t, w)) / size[t]) * np.log1p(np.mean(list(size.values())) / sum(x == w for _, x in known))  # noqa: B023, E731
+        want = [(f"v:{t}", k + 1, w) for t in sorted(size) for k, w in enumerate(sorted({w for x, w in known if x == t}, key=lambda w: (-weight(t, w), w))[:5])]
+        made = topics.topic_terms(df, segs, least_segments=least)
+        assert [(r.topic_id, r.rank, r.term) for r in made.orderBy("topic_id", "rank").collect()] == want
+    made = topics.topic_terms(df, segs)
+    made.collect()
+    plan = made._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Generate explode") == 1 and "distinct segment_id" not in plan
+
+
 def test_small_scopes_have_no_topics(spark):
     segs = spark.createDataFrame([("s", "t", "customer-support", 0, "x", "y", [], [], "a", 1)], SCHEMAS["segments"])
     emb = spark.createDataFrame([("s", "t", [1.0])], SCHEMAS["segment_embeddings"])
