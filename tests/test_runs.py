@@ -7,7 +7,7 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from callsift.plans.run import COMPLETE, FAILED, Providers, Run, latest_run, run_pipeline
+from callsift.plans.run import COMPLETE, FAILED, Context, Providers, Run, latest_run, pseudonymize, read_calls, run_pipeline
 from callsift.providers.offline import RuleModel
 from callsift.settings import Settings
 from callsift.sources import tables
@@ -94,6 +94,19 @@ def test_run_fails_resumes_and_repeats(spark, tmp_path):
     assert all((html / p).exists() for p in manifest.values()) and len(manifest) >= 4
 
 
+def test_mappings_are_not_read_back(spark, tmp_path, monkeypatch):
+    corpus(tmp_path / "in")
+    c = Context(spark, str(tmp_path / "in"), Run(tmp_path / "run"), Settings(), Providers(), ("ingest",))
+    read_calls(c)
+    read, names = tables.read_table, []
+    monkeypatch.setattr(tables, "read_table", lambda session, place, name: names.append(name) or read(session, place, name))
+    c.owns = ("privacy",)
+    pseudonymize(c)
+    assert "redaction_reports" in names and "pii_mappings" not in names  # one folder a call: its listing grows with the calls
+    mails = {r.transcript_id: r.surface for r in read(spark, c.run.stage_dir("privacy"), "pii_mappings").where("placeholder = '[EMAIL_ADDRESS_01]'").collect()}
+    assert mails == {f"CALL{i:02d}": f"ann{i}@example.org" for i in range(24)}
+
+
 def test_runs_sort_by_number(tmp_path):
     for n in (9, 10):
         Run(tmp_path / f"execution_{n}").record(COMPLETE)
