@@ -107,6 +107,21 @@ def test_mappings_are_not_read_back(spark, tmp_path, monkeypatch):
     assert mails == {f"CALL{i:02d}": f"ann{i}@example.org" for i in range(24)}
 
 
+@pytest.mark.parametrize("most", [3, 1000])
+def test_folders_of_calls_are_written_by_bounded_jobs(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(tables, "FOLDERS_AT_ONCE", most)
+    place = tmp_path / "pii_mappings"
+    for n in (5, 40):  # the second replaces the first
+        rows = [(f"0{i}" if i % 2 else f"{i}/ é", f"[EMAIL_ADDRESS_{k:02d}]", f"{i}.{k}@x.org") for i in range(n) for k in range(3)]
+        tables.write_table(spark.createDataFrame(rows, tables.SCHEMAS["pii_mappings"]).repartition(4), str(tmp_path), "pii_mappings")
+        assert sorted(map(tuple, tables.read_table(spark, str(tmp_path), "pii_mappings").select("transcript_id", "placeholder", "surface").collect())) == sorted(rows)
+    folders = [p for p in place.iterdir() if p.is_dir()]
+    assert len(folders) == 40 and all(len(list(p.glob("*.parquet"))) == 1 for p in folders)
+    assert {p.name for p in tmp_path.iterdir()} == {"pii_mappings"}
+    jobs = {p.name.split("-")[2] for d in folders for p in d.glob("*.parquet")}
+    assert len(jobs) == 1 if most == 1000 else len(jobs) > 10
+
+
 def test_runs_sort_by_number(tmp_path):
     for n in (9, 10):
         Run(tmp_path / f"execution_{n}").record(COMPLETE)
