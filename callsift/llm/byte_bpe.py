@@ -43,6 +43,10 @@ SAMPLE_DOCS = 20_000
 LONG_PIECE = 64
 #: A pair's rank and place are one number: the rank in the bits from here on.
 PLACE_BITS = 30
+#: A short piece's pair: its rank in the bits from here on, then its index while the lowest is sought, then 16 bits of its first id.
+ENTRY_BITS = 30
+NO_PAIR = 1 << (ENTRY_BITS + 16)
+NO_ID = 0xFFFF
 #: Slots of the rank table; row ``a`` takes those from ``shift[a]`` on.
 SLOTS = 1 << 20
 HOLE = 0xFFFF
@@ -98,8 +102,11 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def folded(ids: Column, shift: Column, table: Column, long: bool = False) -> Column:
-    """The ids of one piece, given the ids of its bytes (``array<bigint>``); ``long`` chooses the steps, not the result."""
+def folded(ids: Column, shift: Column, table: Column, long: bool = False, begun: bool = False) -> Column:
+    """The ids of one piece, given the ids of its bytes (``array<bigint>``); ``long`` chooses the steps, not the result.
+
+    ``begun``: a short piece comes as its first entries, those of ``first_entries``.
+    """
     none = F.lit(1 << (PLACE_BITS + 16))
 
     def rank(a: Column, b: Column) -> Column:
@@ -119,9 +126,6 @@ def folded(ids: Column, shift: Column, table: Column, long: bool = False) -> Col
     def place(least: Column) -> Column:
         return least.bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int")
 
-    def one(word: Column, _: Column) -> Column:
-        return let(lowest(word), lambda least: F.when(least.isNull() | (least >= none), word).otherwise(merged(word, least)))
-
     def all_places(word: Column, a: Column, b: Column, made: Column) -> Column:
         """``word`` with every pair (a, b) merged, from the left."""
 
@@ -166,9 +170,35 @@ def folded(ids: Column, shift: Column, table: Column, long: bool = False) -> Col
 
         return F.when(state["over"], state).otherwise(let(lowest(state["w"]), go))
 
-    steps = F.sequence(F.lit(1), F.greatest(F.size(ids) - 1, F.lit(1)))
+    # A short piece keeps its pairs' ranks: an entry is the rank of the pair that begins there and its first id; an entry of no pair comes first.
+    last = F.lit(NO_PAIR)
+    indexes = F.lit([i << 16 for i in range(LONG_PIECE + 1)])
+
+    def entry(a: Column, b: Column) -> Column:
+        """The entry of ``a`` before ``b``, which is null at the end."""
+        return F.coalesce(F.shiftleft(rank(a, b), ENTRY_BITS), last) + a
+
+    def id_at(word: Column, at: Column) -> Column:
+        return F.get(word, at).bitwiseAND(F.lit(NO_ID))
+
+    def one(word: Column, _: Column) -> Column:
+        """``word`` with its lowest pair, leftmost first, merged; only the two pairs that this makes are looked up."""
+
+        def merge(least: Column) -> Column:
+            made = F.shiftright(least, ENTRY_BITS)
+            at = (F.shiftright(least, 16).bitwiseAND(F.lit((1 << (ENTRY_BITS - 16)) - 1))).cast("int")
+            new = F.array(entry(id_at(word, at - 1), made), entry(made, id_at(word, at + 2)))
+            parts = F.array(F.slice(word, F.lit(1), at - 1), new, F.slice(word, at + 3, F.lit(LONG_PIECE)))
+            return F.when(least >= last, word).otherwise(F.flatten(parts))
+
+        # The index comes with the rank: array_position would leave its loop by an exception at every step.
+        return let(F.array_min(F.transform(word, lambda e, i: e + F.get(indexes, i))), merge)
+
     if not long:
-        return F.aggregate(steps, ids, one)
+        start = ids if begun else F.concat(F.array(F.lit(NO_PAIR + NO_ID)), F.transform(ids, lambda a, i: entry(a, F.get(ids, i + 1))))
+        steps = F.sequence(F.lit(1), F.greatest(F.size(start) - 2, F.lit(1)))
+        return F.aggregate(steps, start, one, lambda word: F.transform(F.slice(word, 2, LONG_PIECE), lambda e: e.bitwiseAND(F.lit(NO_ID))))
+    steps = F.sequence(F.lit(1), F.greatest(F.size(ids) - 1, F.lit(1)))
     start = F.struct(ids.alias("w"), F.lit(False).alias("over"))
     return F.aggregate(steps, start, many, lambda s: s["w"])
 
@@ -225,7 +255,7 @@ def encode(
     shift, table = rank_table(ranks)
     maps = literal(spark, shift), literal(spark, table)
     known = dictionary(docs, ranks, pattern, text_col, id_col, maps, sample_docs)
-    sent = spark.sparkContext.broadcast(([ranks[bytes([b])] for b in range(256)], known))
+    sent = spark.sparkContext.broadcast(([ranks[bytes([b])] for b in range(256)], byte_pairs(ranks), known))
     pieces_of = spark.sparkContext.broadcast(decoding_table(ranks))  # apart, so that the second step holds no dictionary
     hole = np.array([HOLE], "<u2").tobytes()
 
@@ -233,7 +263,7 @@ def encode(
         import regex
 
         split = regex.compile(pattern).findall
-        start, known = sent.value
+        start, pairs, known = sent.value
         start, get = np.array(start, np.int16), known.get
 
         def run(texts: list[str]) -> dict[str, list]:
@@ -255,21 +285,22 @@ def encode(
                 order.append(np.where(refs < 0, len(short) - 1 - refs, refs).astype("<u4").tobytes())
                 found[0].append(short)
                 found[1].append(long)
-            return {"flat": flat, "rare": byte_arrays(found[0], start), "long": byte_arrays(found[1], start), "refs": order}
+            return {"flat": flat, "rare": byte_arrays(found[0], start, pairs), "long": byte_arrays(found[1], start), "refs": order}
 
         return run
 
     fields = T.StructType(
         [
             T.StructField("flat", T.BinaryType()),
-            T.StructField("rare", T.ArrayType(T.ArrayType(T.ShortType()))),  # bytes have the lowest ids
-            T.StructField("long", T.ArrayType(T.ArrayType(T.ShortType()))),
+            T.StructField("rare", T.ArrayType(T.ArrayType(T.LongType()))),
+            T.StructField("long", T.ArrayType(T.ArrayType(T.ShortType()))),  # bytes have the lowest ids
             T.StructField("refs", T.BinaryType()),
         ]
     )
     coded = map_texts(docs, make, fields, id_col, text_col)
-    fold = lambda name, long: F.transform(name, lambda w: folded(w.cast("array<bigint>"), *maps, long))
-    coded = coded.select(id_col, "flat", "refs", F.concat(fold("rare", False), fold("long", True)).alias("rare"))
+    short = F.transform("rare", lambda w: folded(w, *maps, begun=True))
+    long = F.transform("long", lambda w: folded(w.cast("array<bigint>"), *maps, long=True))
+    coded = coded.select(id_col, "flat", "refs", F.concat(short, long).alias("rare"))
 
     out = [docs.schema[id_col], T.StructField("ids", T.BinaryType())] + [T.StructField("decoded", T.BinaryType())] * with_decoded
     schema = T.StructType(out)
@@ -290,12 +321,29 @@ def encode(
     return coded.mapInArrow(fill, schema)
 
 
-def byte_arrays(words: list[dict[bytes, int]], start: np.ndarray) -> pa.Array:
-    """For each text its words, each as the ids of its bytes."""
+def byte_pairs(ranks: dict[bytes, int]) -> np.ndarray:
+    """``[a, b]``: the entry of byte ``a`` before byte ``b``, ``[a, 256]`` at the end of a piece."""
+    own = [ranks[bytes([a])] for a in range(256)]
+    return np.array([[(ranks.get(bytes([a, b]), NO_PAIR >> ENTRY_BITS) << ENTRY_BITS) + own[a] for b in range(256)] + [NO_PAIR + own[a]] for a in range(256)], np.int64)
+
+
+def first_entries(joined: bytes, sizes: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """The entries that the fold of short pieces begins with: for each one that of no pair, then those of its bytes."""
+    left = np.frombuffer(joined, np.uint8)
+    right = np.append(left[1:], 0).astype(np.int64)
+    ends = np.cumsum(sizes)
+    right[ends - 1] = 256
+    return np.insert(pairs[left, right], ends - sizes, NO_PAIR + NO_ID) if len(left) else np.empty(0, np.int64)
+
+
+def byte_arrays(words: list[dict[bytes, int]], start: np.ndarray, pairs: np.ndarray | None = None) -> pa.Array:
+    """For each text its words, each as the ids of its bytes, or as its first entries if ``pairs`` are given."""
     every = [w for own in words for w in own]
-    ends = lambda sizes: pa.array(np.concatenate(([0], np.cumsum(np.fromiter(sizes, np.int64, -1)))).astype(np.int32))
-    values = pa.array(start[np.frombuffer(b"".join(every), np.uint8)])
-    return pa.ListArray.from_arrays(ends(map(len, words)), pa.ListArray.from_arrays(ends(map(len, every)), values))
+    ends = lambda sizes: pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))
+    sizes = np.fromiter(map(len, every), np.int64, len(every))
+    joined = b"".join(every)
+    values = pa.array(start[np.frombuffer(joined, np.uint8)] if pairs is None else first_entries(joined, sizes, pairs))
+    return pa.ListArray.from_arrays(ends([len(own) for own in words]), pa.ListArray.from_arrays(ends(sizes + (pairs is not None)), values))
 
 
 def fill_holes(flat: np.ndarray, refs: np.ndarray, rare: pa.Array) -> np.ndarray:

@@ -44,3 +44,22 @@ def test_encode_and_decode(spark, sf, sample):
 def test_no_rows(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, ids int")
     assert byte_bpe.encode(docs, PATH, P.PATTERN).count() == 0
+
+
+def test_short_pieces_keep_their_ranks(spark):
+    """Short pieces, from the ids of their bytes and from first entries with ranks, against the library."""
+    import random
+
+    rng = random.Random(7)
+    pieces = [b"a", b"ab", b"aaa", b"aaaa", b"a" * 63, b"a" * 64, b"ab" * 32, b"\xff\x00" * 9, " ththedeash".encode(), " наречие".encode()]
+    pieces += ["".join(rng.choices(c, k=rng.randint(1, 16))).encode()[:64] for c in ("ab", "aA1", "the ", "etaoinshrdlu", "=-", "éü日ab") for _ in range(40)]
+    pieces += [rng.randbytes(rng.randint(1, 64)) for _ in range(60)]
+    maps = [byte_bpe.literal(spark, x) for x in byte_bpe.rank_table(RANKS)]
+    sizes = np.array([len(p) for p in pieces])
+    entries = byte_bpe.first_entries(b"".join(pieces), sizes, byte_bpe.byte_pairs(RANKS))
+    cuts = np.concatenate(([0], np.cumsum(sizes + 1)))
+    rows = [(i, [RANKS[bytes([b])] for b in p], entries[a:e].tolist()) for i, (p, a, e) in enumerate(zip(pieces, cuts, cuts[1:]))]
+    frame = spark.createDataFrame(rows, "i int, ids array<bigint>, entries array<bigint>")
+    plain, begun = byte_bpe.folded(frame["ids"], *maps), byte_bpe.folded(frame["entries"], *maps, begun=True)
+    for r in frame.select("i", plain.alias("a"), begun.alias("b")).collect():
+        assert r.a == r.b == LIBRARY._encode_single_piece(pieces[r.i]), pieces[r.i]
